@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import mixing, simhash, spotsigs, suffix_dedup
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op5_mixing": mixing.op5_mixing,
+    "op9_spotsigs": spotsigs.op9_spotsigs,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
