@@ -44,10 +44,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     weighed = ordered.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (F.col("k") % len(weights) + 1).cast("int"))).withColumn("cap", F.col("source_size") * limit)
     up = Window.orderBy(F.col("cap") / F.col("w"), "k").rowsBetween(Window.unboundedPreceding, -1)
     down = Window.orderBy(F.col("cap") / F.col("w"), "k").rowsBetween(0, Window.unboundedFollowing)
-    levels = weighed.select("*", (F.sum("source_size").over(total) * share - F.coalesce(F.sum("cap").over(up), F.lit(0.0))).alias("left"), F.sum("w").over(down).alias("open"))
+    levels = weighed.select("*", (F.sum("source_size").over(total) * share - F.coalesce(F.sum("cap").over(up), F.lit(0.0))).alias("left"), F.sum("w").over(down).alias("open"), F.row_number().over(Window.orderBy(F.col("cap") / F.col("w"), "k")).alias("nth"))
     # the first source, in that order, that stays below its limit sets the level for itself and all after it
-    fits = levels.withColumn("level", F.when(F.col("left") / F.col("open") * F.col("w") <= F.col("cap"), F.col("left") / F.col("open")))
-    reached = fits.withColumn("level", F.min("level").over(total))
+    level = F.col("left") / F.col("open")
+    reached = levels.withColumn("level", F.min_by(level, F.when(level * F.col("w") <= F.col("cap"), F.col("nth"))).over(total))
     return reached.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("w"), F.col("cap"))).alias("target"))
 
 
