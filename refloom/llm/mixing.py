@@ -6,9 +6,10 @@ concave dual sum(target * lambda - size * exp(lambda)), which Newton's method fi
 through each source's words, so one distributed aggregation gives all its iterations need, and they run as one
 expression on the table of sources.
 
-Rates are rounded into copies by systematic rounding along the documents of a source in order of size: a document gets
-floor(R + 1/2) - floor(R' + 1/2) copies, R being the sum of the rates up to it and R' before it. It gets the floor or
-the ceiling of its rate, and as sizes ascend the words taken differ from the target by less than twice the largest size.
+Rates are rounded into copies by systematic rounding along the documents of a source in descending order of size: a
+document gets floor(R + 1/2) - floor(R' + 1/2) copies, R being the sum of the rates up to it and R' before it. It gets the
+floor or the ceiling of its rate, and as sizes descend the words taken differ from the target by at most half the largest
+size (the sum of the steps down, each times at most 1/2).
 The running sums come from three levels of counts (source and size; bucket of ids; row), so no task orders a source:
 a window holds at most the different sizes of one source, `BUCKETS` counts, or one bucket of one size.
 """
@@ -71,7 +72,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     targets = source_targets(sizes.groupBy("source").agg(F.sum(F.col("n_size") * F.col("size")).alias("source_size")), weights, share, limit)
     rates = targets.withColumn("rate", balanced_rate(F.col("target"), F.col("source_size").cast("double"))).withColumnRenamed("source", "s")
     before = Window.unboundedPreceding
-    sizes = sizes.withColumn("skip", F.coalesce(F.sum("n_size").over(Window.partitionBy("source").orderBy("size").rowsBetween(before, -1)), F.lit(0)))
+    sizes = sizes.withColumn("skip", F.coalesce(F.sum("n_size").over(Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(before, -1)), F.lit(0)))
     cells = cells.withColumn("skip_cell", F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(before, -1)), F.lit(0)))
     plan = (
         cells.select(F.col("source").alias("cs"), F.col("size").alias("cz"), "bucket", "skip_cell")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash, spotsigs, suffix_dedup
+from . import bpe, mixing, simhash, spotsigs, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op3_warc": warc.op3_warc,
+    "op4_token_store": token_store.op4_token_store,
     "op5_mixing": mixing.op5_mixing,
+    "op6_bpe": bpe.op6_bpe,
     "op9_spotsigs": spotsigs.op9_spotsigs,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
+}
