@@ -1,7 +1,7 @@
 """SpotSigs document fingerprints, in DataFrame operations only.
 
-A signature is an anchor (a common word of one of four languages) and the chain of the next content words after it,
-anchors between them left out. A document's fingerprint is the sorted set of the 32-bit hashes of its signatures. A text
+A signature is the chain of the next content words after an anchor (a common word of one of four languages), anchors
+between them left out. A document's fingerprint is the sorted set of the 32-bit hashes of its signatures. A text
 without a whole chain has one signature over all its words; a text without words has none.
 
 The likeness of two fingerprints is the Jaccard similarity of the sets. It is at most the smaller length by the larger,
@@ -31,16 +31,17 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     """The sorted set of a text's signature hashes, as array<int>; null counts as empty."""
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     anchors = "|".join(sorted({w for line in ANCHORS.values() for w in line.split()}))
-    marked = F.regexp_replace(words, rf"(?<= )(?=(?:{anchors}) )", "\u0001")
-    spans = F.regexp_extract_all(marked, F.lit("\u0001(?=([^ ]+(?:(?: +\u0001[^ ]+)* +[^\u0001 ][^ ]*){%d}) )" % chain), F.lit(1))
-    found = F.array_sort(F.array_distinct(F.transform(spans, lambda s: F.hash(F.regexp_replace(s, " +\u0001[^ ]+|(?<= ) +", "")))))
-    whole = F.trim(F.regexp_replace(marked, "[\u0001 ]+", " "))
+    marked = F.regexp_replace(words, rf"(?<= )(?:{anchors})(?= )", "\u0001")
+    # Only the last of several anchors in a row is looked at, as all have the same chain. No group repeats, so the depth of the match is bounded.
+    spans = F.regexp_extract_all(marked, F.lit("\u0001(?= (" + "[\u0001 ]+".join(["[^\u0001 ]+"] * chain) + "))"), F.lit(1))
+    found = F.array_sort(F.array_distinct(F.transform(spans, lambda s: F.hash(F.regexp_replace(s, "[\u0001 ]+", " ")))))
+    whole = F.trim(words)
     return F.when(F.size(found) > 0, found).when(whole != "", F.array(F.hash(whole))).otherwise(F.array().cast("array<int>"))
 
 
 def fingerprint(signature_set: Column) -> Column:
     """Eight hex digits a signature, in order."""
-    return F.concat_ws("", F.transform(signature_set, lambda s: F.lpad(F.hex(s.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")))
+    return F.concat_ws("", F.transform(signature_set, lambda s: F.lower(F.lpad(F.hex(s.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))))
 
 
 def length_class(signature_set: Column, threshold: float = THRESHOLD) -> Column:
@@ -85,7 +86,7 @@ def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     after = next_documents(df, id_col, text_col)
     links = after.join(halves, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select(F.col("id").alias("of_id"), F.col("th").alias("of_th"), "next_id", "next_th", "half")
     heads = docs.join(links, F.col("id").eqNullSafe(F.col("next_id")) & (F.col("th") == F.col("next_th")))
-    heads = heads.select("of_id", "of_th", F.expr("substring(text, 1, half)").alias("head"), signatures(F.col("text")).alias("next_set"))
+    heads = heads.select("of_id", "of_th", F.expr("substring(text, 1, half)").alias("head"), signatures(F.col("text")).alias("next_set")).dropDuplicates(["of_id", "of_th"])
     both = docs.join(heads, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("th") == F.col("of_th")))
     n = F.char_length("text")
     made = both.select("id", n.alias("n_chars"), F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), "head").alias("edited"), signatures(F.col("text")).alias("own_set"), "next_set")
