@@ -11,8 +11,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import re
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,8 +25,6 @@ from .simhash import _arrow_type
 
 #: Fixed value: how the vocabularies of this family cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for texts of Latin-1 characters only, with its classes spelled out, for the faster standard library.
-LATIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9²³¹¼½¾]+| ?[^\t-\r \x85\xa0A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+"
 CHUNK = 8 << 20  # characters that are encoded at a time
 WORDS = 400_000  # different words that a worker remembers
 
@@ -146,45 +142,178 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+LETTER, NUMBER, OTHER, SPACE = range(4)
+PIECE = 1 << 20  # characters that are cut into words at a time
+
+
+@lru_cache(1)
+def _latin_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each Latin-1 character, a random number for it, and powers for places in a word."""
+    kinds = [regex.compile(k) for k in (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]", r"\s")]
+    classes = np.array([next(k for k, r in enumerate(kinds) if r.match(chr(c))) for c in range(256)], np.uint8)
+    return classes, np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64), np.cumprod(np.full(PIECE, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def latin_words(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the words of PATTERN start in Latin-1 texts one after another; texts: where each (none empty) starts."""
+    classes = _latin_tables()[0]
+    kind = classes[data]
+    new = np.r_[True, kind[1:] != kind[:-1]]
+    first = np.zeros(len(data) + 1, bool)
+    first[texts] = first[-1] = True
+    new |= first[:-1]
+    run = np.flatnonzero(new)
+    end = np.r_[run[1:], len(data)]
+    mark = np.zeros(len(data) + 1, bool)
+    space = kind[run] == SPACE
+    # a run that is not white space takes one blank before it
+    word = run[~space]
+    blank = ~first[word] & (data[word - 1] == 32)
+    mark[word - blank] = True
+    # white space before a word leaves it its last character
+    low, high = run[space], end[space]
+    followed = ~first[high]
+    mark[low[~followed | (high - low > 1) | (data[low] != 32)]] = True
+    mark[high[followed & (data[high - 1] != 32)] - 1] = True
+    # an apostrophe alone before certain letters takes them
+    lone = word[~blank & (data[word] == 39) & (end[~space] - word == 1)]
+    lone = lone[~first[lone + 1]]
+    after, then = data[lone + 1], np.where(first[np.minimum(lone + 2, len(data))], 0, data[np.minimum(lone + 2, len(data) - 1)])
+    takes = np.where(np.isin(after, np.frombuffer(b"stmd", np.uint8)), 1, 0)
+    for pair in (b"re", b"ve", b"ll"):
+        takes[(after == pair[0]) & (then == pair[1])] = 2
+    lone, takes = lone[takes > 0], takes[takes > 0]
+    mark[lone + 1] = False
+    rest = lone + 1 + takes
+    mark[rest[~new[np.minimum(rest, len(data) - 1)] & (rest < len(data))]] = True
+    return np.flatnonzero(mark[:-1])
+
+
+class HashIndex:
+    """Numbers for 64-bit hashes, looked up all at once: open addressing in arrays."""
+
+    def __init__(self, bits: int = 16) -> None:
+        self.mask, self.used = np.uint64((1 << bits) - 1), 0
+        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash (none is 0), -1 if there is none."""
+        slot = hashes & self.mask
+        there = self.keys[slot]
+        out = np.where(there == hashes, self.numbers[slot], -1)
+        open_ = np.flatnonzero((there != hashes) & (there != 0))
+        while len(open_):
+            slot[open_] = slot[open_] + np.uint64(1) & self.mask
+            there = self.keys[slot[open_]]
+            hit = there == hashes[open_]
+            out[open_[hit]] = self.numbers[slot[open_[hit]]]
+            open_ = open_[~hit & (there != 0)]
+        return out
+
+    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """New different hashes."""
+        self.used += len(hashes)
+        if self.used * 3 > len(self.keys):
+            old, self.mask = self.keys != 0, np.uint64((1 << int(self.used * 4).bit_length()) - 1)
+            hashes, numbers = np.r_[self.keys[old], hashes], np.r_[self.numbers[old], numbers]
+            self.keys, self.numbers = np.zeros(int(self.mask) + 1, np.uint64), np.zeros(int(self.mask) + 1, np.int32)
+        slot = hashes & self.mask
+        while len(hashes):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            _, one = np.unique(slot[free], return_index=True)
+            take = free[one]
+            self.keys[slot[take]], self.numbers[slot[take]] = hashes[take], numbers[take]
+            left = np.ones(len(hashes), bool)
+            left[take] = False
+            hashes, numbers, slot = hashes[left], numbers[left], slot[left] + np.uint64(1) & self.mask
+
+
 class WordEncoder:
-    """Encodes texts word by word; `encode` gets the different new words and returns all their ids and the number of each word's."""
+    """Encodes texts word by word; `encode` gets the different new words and returns all their ids and the number of each word's.
+
+    Latin-1 texts are cut into words by array operations, and their words told apart by 64-bit hashes (of at most
+    `remember` words at a time); other texts by the pattern itself and a dict.
+    """
 
     def __init__(self, special: dict[str, int], encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], remember: int = WORDS) -> None:
         self.special, self.encode, self.remember = special, encode, remember
-        self.find_any, self.find_latin = regex.compile(PATTERN).findall, re.compile(LATIN).findall
+        self.find = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")").split if special else None
         self.reset()
 
     def reset(self) -> None:
-        self.index: defaultdict[str, int] = defaultdict()
-        self.index.default_factory = self.index.__len__
+        self.index: dict[str, int] = {}
+        self.hashes = HashIndex()
+        self.new: list[bytes] = []
         self.known = 0
         self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def find(self, text: str) -> list[str]:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.find_any(text)
-        return self.find_latin(text)
+    def _number(self, word: str) -> int:
+        found = self.index.get(word)
+        if found is None:
+            found = self.index[word] = self.known + len(self.new)
+            self.new.append(word.encode("utf-8", "surrogatepass"))
+        return found
 
     def words_of(self, text: str) -> np.ndarray:
         """Numbers of the text's words; special strings, whole, are -1 - id."""
-        number = self.index.__getitem__
-        if self.cut is None or not any(s in text for s in self.special):
-            return np.array(list(map(number, self.find(text))), np.int64)
-        parts = [np.array([-1 - self.special[p]] if p in self.special else list(map(number, self.find(p))), np.int64) for p in self.cut(text) if p]
-        return np.concatenate(parts)
+        if self.cut is None:
+            return np.array([self._number(w) for w in self.find(text)], np.int64)
+        return np.array([n for p in self.cut(text) if p for n in ([-1 - self.special[p]] if p in self.special else map(self._number, self.find(p)))], np.int64)
+
+    def _latin(self, texts: list[bytes]) -> list[np.ndarray]:
+        """As words_of(), of Latin-1 texts without special strings, none empty."""
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sizes = np.array([len(t) for t in texts])
+        begin = np.cumsum(sizes) - sizes
+        starts = latin_words(data, begin)
+        lengths = np.diff(np.r_[starts, len(data)])
+        _, chance, powers = _latin_tables()
+        place = np.arange(len(data)) - np.repeat(starts, lengths)
+        terms = chance[data] * (powers[place] if len(data) <= PIECE or not len(place) or place.max() < PIECE else powers[place % PIECE] ^ (place // PIECE).astype(np.uint64))
+        hashes = np.add.reduceat(terms, starts) * np.uint64(0xD6E8FEB86659FD93) ^ lengths.astype(np.uint64)
+        hashes ^= hashes >> np.uint64(31)
+        hashes[hashes == 0] = 1
+        numbers = self.hashes.find(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            fresh, at, inverse = np.unique(hashes[missing], return_index=True, return_inverse=True)
+            at = missing[at]
+            joined = data.tobytes()
+            base = self.known + len(self.new)
+            self.new += [joined[s : s + n].decode("latin-1").encode() for s, n in zip(starts[at].tolist(), lengths[at].tolist())]
+            self.hashes.add(fresh, np.arange(base, base + len(fresh), dtype=np.int32))
+            numbers[missing] = base + inverse
+        return np.split(numbers, np.searchsorted(starts, begin[1:]))
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.index) > self.remember:
+        if self.known > self.remember:
             self.reset()
-        rows = [self.words_of(t) for t in texts]
-        new = [w.encode("utf-8", "surrogatepass") for w in list(self.index)[self.known :]]
-        if new:
-            flat, counts = self.encode(new)
-            self.flat, self.counts, self.known = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts]), len(self.index)
+        rows: list[np.ndarray | None] = [None] * len(texts)
+        held, held_rows, size = [], [], 0
+        for k, text in enumerate(texts):
+            try:
+                plain = text.encode("latin-1") if text and not any(s in text for s in self.special) else None
+            except UnicodeEncodeError:
+                plain = None
+            if plain is None:
+                rows[k] = self.words_of(text)
+                continue
+            held.append(plain)
+            held_rows.append(k)
+            size += len(plain)
+            if size >= PIECE or k == len(texts) - 1:
+                for i, row in zip(held_rows, self._latin(held)):
+                    rows[i] = row
+                held, held_rows, size = [], [], 0
+        if held:
+            for i, row in zip(held_rows, self._latin(held)):
+                rows[i] = row
+        if self.new:
+            flat, counts = self.encode(self.new)
+            self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+            self.known, self.new = self.known + len(self.new), []
         starts = np.cumsum(self.counts) - self.counts
         return [self._ids(row, starts) for row in rows]
 

@@ -58,14 +58,15 @@ def balanced_rate(target: Column, size: Column, steps: int = NEWTON_STEPS) -> Co
     return F.when((size > 0) & (target > 0), F.round(F.exp(newton), 12)).otherwise(0.0)
 
 
-def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
+def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, carry: bool = False) -> DataFrame:
     """(id_col, size, source_size, target, copies, taken) for each row of df.
 
     size counts words; taken = copies * size. Null and empty texts have size 0 and take nothing. Null sources are one
     source, the last. Rows that repeat are mixed as different rows; which of rows with equal id, size and source gets
-    a further copy is all the same, as they are equal. No rows: no rows.
+    a further copy is all the same, as they are equal. No rows: no rows. carry: (row struct of df's columns, copies) instead.
     """
-    docs = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    whole = [F.struct(*df.columns).alias("row")] if carry else []
+    docs = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *whole)
     docs = docs.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))
     cells = docs.groupBy("source", "size", "bucket").agg(F.count("*").alias("n"))
     sizes = cells.groupBy("source", "size").agg(F.sum("n").alias("n_size"))
@@ -85,8 +86,16 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     at = F.col("skip") + F.col("nth")
     copies = F.floor(at * F.col("rate") + 0.5) - F.floor((at - 1) * F.col("rate") + 0.5)
     out = joined.withColumn("copies", copies.cast("long"))
+    if carry:
+        return out.select("row", "copies")
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def mixed_documents(df: DataFrame, **options) -> DataFrame:
+    """The mix: each row of df as often as it has copies."""
+    mixed = mix_sources(df, carry=True, **options)
+    return mixed.where("copies > 0").withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

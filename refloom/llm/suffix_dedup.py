@@ -300,27 +300,29 @@ def repeat_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return whole.unionByName(sorted_).unionByName(again)
 
 
+def cut_text(text: bytes | None, spans: list[dict] | None) -> tuple[bytes, int, int, int]:
+    """(what is left, bytes, bytes removed, runs removed) of a text without the ranges, which may overlap."""
+    text = text or b""
+    if not spans:
+        return text, len(text), 0, 0
+    parts, end, removed, runs = [], 0, 0, 0
+    for low, high in sorted((s["low"], s["high"]) for s in spans):
+        if low > end or not runs:
+            parts.append(text[end:low])
+            runs += 1
+            removed += high - low
+        else:
+            removed += max(0, high - end)
+        end = max(end, high)
+    parts.append(text[end:])
+    return b"".join(parts), len(text), removed, runs
+
+
 def _remove(id_type: pa.DataType):
     schema = pa.schema([("_r_id", id_type), ("_r_th", pa.int64()), ("kept", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
 
-    def cut(text: bytes | None, spans: list[dict] | None) -> tuple[bytes, int, int, int]:
-        text = text or b""
-        if not spans:
-            return text, len(text), 0, 0
-        parts, end, removed, runs = [], 0, 0, 0
-        for low, high in sorted((s["low"], s["high"]) for s in spans):
-            if low > end or not runs:
-                parts.append(text[end:low])
-                runs += 1
-                removed += high - low
-            else:
-                removed += max(0, high - end)
-            end = max(end, high)
-        parts.append(text[end:])
-        return b"".join(parts), len(text), removed, runs
-
     def make(cols: dict[str, list]) -> dict[str, object]:
-        done = [cut(t, s) for t, s in zip(cols["text"], cols["spans"])]
+        done = [cut_text(t, s) for t, s in zip(cols["text"], cols["spans"])]
         return {"_r_id": cols["_r_id"], "_r_th": cols["_r_th"], **{n: [d[k] for d in done] for k, n in enumerate(("kept", "n_bytes", "n_removed", "n_spans"))}}
 
     return over_rows(make, schema, 128)
@@ -335,6 +337,27 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return joined.mapInArrow(_remove(id_type), f"_r_id {id_name}, _r_th long, kept binary, n_bytes long, n_removed long, n_spans long").drop("_r_th").withColumnRenamed("_r_id", id_col)
 
 
+def without_later_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """df with texts that lack later copies (keep="first"); a character of which a byte goes, goes whole. Null texts stay null. Other columns stay."""
+    keyed = _keyed(df, id_col, text_col)
+    spans = repeat_spans(df, id_col, text_col, length, "first").groupBy("id", "th").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    joined = keyed.join(spans, _same(keyed, spans), "left").select(*(F.col(c) for c in df.columns if c != text_col), F.col(text_col).alias("text"), "spans")
+    names = [f"c{i}" for i in range(len(joined.columns))]
+    rows = joined.toDF(*names)
+    schema = pa.schema([(n, _arrow_type(rows, n)) for n in names[:-1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                *rest, texts, found = batch.slice(at, 256).columns
+                if found.null_count < len(found):
+                    texts = pa.array([t if s is None or t is None else cut_text(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(texts.to_pylist(), found.to_pylist())], texts.type)
+                yield pa.RecordBatch.from_arrays([*rest, texts], schema=schema)
+
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names[:-1])
+    return rows.mapInArrow(run, kinds).toDF(*(c for c in df.columns if c != text_col), text_col).select(*df.columns)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(read_table(spark, sf_dir, "documents"), keep="none")
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -185,8 +185,8 @@ def unpack_segment(data: bytes) -> tuple[pa.RecordBatch, list[np.ndarray]]:
     return listed, np.split(stream, np.cumsum(listed.column("n").to_numpy())[:-1])
 
 
-def library_encoder(path: str, remember: int = 600_000) -> WordEncoder:
-    """Encodes with the tokenizers library, each different word once: its ids are the same alone and within a text."""
+def library_encoder(path: str, remember: int = 600_000, special: bool = True) -> WordEncoder:
+    """Encodes with the tokenizers library, each different word once: its ids are the same alone and within a text. special=False: special strings are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
 
@@ -204,7 +204,7 @@ def library_encoder(path: str, remember: int = 600_000) -> WordEncoder:
             counts.append(np.diff(ends + 1, prepend=0))
         return np.concatenate(flat), np.concatenate(counts)
 
-    return WordEncoder(vocab.special, encode, remember)
+    return WordEncoder(vocab.special if special else {}, encode, remember)
 
 
 def write_tokens(df: DataFrame, out: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID, partitions: int | None = None) -> None:
@@ -272,7 +272,7 @@ def read_tokens(spark: SparkSession, out: str, id_col: str = "doc_id", id_type:
                 ids = pa.array([r.astype(np.int32) for r in rows] if with_ids else [None] * len(rows), schema.field(4).type)
                 yield pa.RecordBatch.from_arrays([listed.column("id"), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64()), ids], schema=schema)
 
-    segments = token_index(spark, out).select("path", "at", "size", "start").repartition("path", "at")
+    segments = token_index(spark, out).select("path", "at", "size", "start").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "at")
     return segments.mapInArrow(run, f"id {id_type}, start long, n_tokens long, ids_crc32 long, ids array<int>").withColumnRenamed("id", id_col)
 
 

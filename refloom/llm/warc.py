@@ -150,7 +150,7 @@ def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE, with_pay
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
-    read = ranges.repartition("path", "start").mapInArrow(run, "page_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary")
+    read = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "start").mapInArrow(run, "page_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary")
     return read.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
