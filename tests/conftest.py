@@ -12,6 +12,6 @@ def spark():
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
