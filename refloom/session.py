@@ -11,8 +11,15 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
+#: Rows and bytes that go to Python at a time: texts may be long, and what a worker holds is to stay small.
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to all executors, once per application."""
+    """Send the package to all executors, once per application, and bound the batches that go to Python."""
+    for key, value in ARROW_LIMITS.items():
+        if spark.conf.get(key, None) in (None, "10000", "268435456b", "268435456", "256MB", "256m"):  # not set otherwise
+            spark.conf.set(key, value)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
