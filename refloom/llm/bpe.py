@@ -20,12 +20,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, tokenizer_path
+from .common import frugal, read_table, tokenizer_path
 from .simhash import _arrow_type
 
 #: Fixed value: how the vocabularies of this family cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CHUNK = 8 << 20  # characters that are encoded at a time
+CHUNK = 6 << 20  # characters that are encoded at a time
 WORDS = 400_000  # different words that a worker remembers
 
 
@@ -365,7 +365,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(ids, schema.field(0).type), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))], schema=schema)
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", out_col: str = "text", path: str | None = None) -> DataFrame:
@@ -384,7 +384,7 @@ def decode(df: DataFrame, ids_col: str = "ids", out_col: str = "text", path: str
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.array(texts, pa.string())], names=[*rest, out_col])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)
-    return rows.mapInArrow(run, f"{kinds}{', ' if rest else ''}`{out_col}` string")
+    return rows.mapInArrow(frugal(run), f"{kinds}{', ' if rest else ''}`{out_col}` string")
 
 
 def round_trip_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -409,7 +409,7 @@ def round_trip_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 schema=schema,
             )
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run), f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

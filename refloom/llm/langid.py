@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import frugal, read_table
 from .simhash import _arrow_type
 
 #: ISO 639-1 codes by family; a language that is in none is a family of its own.
@@ -163,7 +163,7 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         out.append((lang, spot, where.astype("<u2").tobytes(), made[where].astype("<f4").tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    found = chosen.select("text", "lang", "place").mapInArrow(run, "lang string, place long, at binary, value binary").collect()
+    found = chosen.select("text", "lang", "place").mapInArrow(frugal(run), "lang string, place long, at binary, value binary").collect()
     taken: dict[str, int] = {}
     sample = []
     for r in sorted(found, key=lambda r: (r["lang"], r["place"], bytes(r["at"]), bytes(r["value"]))):
@@ -192,7 +192,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", keep_text: boo
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())], names=schema.names)
 
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in (names[i] for i in kept))
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double").toDF(*(df.columns[i] for i in kept), "lang_pred", "score")
+    return rows.mapInArrow(frugal(run), f"{kinds}, lang_pred string, score double").toDF(*(df.columns[i] for i in kept), "lang_pred", "score")
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

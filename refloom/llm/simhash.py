@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, over_rows, read_table, sorted_groups
+from .common import checkpoint, frugal, over_rows, read_table, sorted_groups
 from .components import connected_components
 
 SEED = 42
@@ -65,7 +65,7 @@ def simhash(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     def make(cols: dict[str, list]) -> dict[str, object]:
         return {"id": cols["id"], "fp": np.array([fingerprint(t, width, seed) for t in cols["text"]], np.uint64).view(np.int64)}
 
-    return kept.mapInArrow(over_rows(make, schema), f"id {kept.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
+    return kept.mapInArrow(frugal(over_rows(make, schema)), f"id {kept.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
 
 
 def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
@@ -197,12 +197,12 @@ def _forest(limit: int):
 def near_fingerprints(fps: DataFrame, limit: int = 2, hot: int = 16384) -> DataFrame:
     """(a, b): edges between the different fingerprints in column fp whose components are those of all links of at most `limit` (even: 0, 2, 4) bits."""
     radius = (limit + 1) // 2
-    by_anchor = fps.select("fp").mapInArrow(_replicate(anchor_of, radius), "anchor long, fp long")
+    by_anchor = fps.select("fp").mapInArrow(frugal(_replicate(anchor_of, radius)), "anchor long, fp long")
     large = by_anchor.groupBy("anchor").count().where(F.col("count") > hot).select("anchor")
     spread = by_anchor.join(large, "anchor", "left_semi").select("fp").distinct().mapInArrow(_replicate(lambda z: z, radius), "anchor long, fp long")
     edges = None
     for rows in (by_anchor.join(large, "anchor", "left_anti"), spread):
-        part = rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_forest(limit), "a long, b long")
+        part = rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(frugal(_forest(limit)), "a long, b long")
         edges = part if edges is None else edges.unionByName(part)
     return edges
 

@@ -27,12 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import over_rows, read_table, sorted_groups, stored
+from .common import frugal, over_rows, read_table, sorted_groups, stored
 from .simhash import _arrow_type
 
 LENGTH = 200
 GRAM = 32
-CHUNK = 1 << 21  # bytes that are hashed or sorted at a time
+CHUNK = 1 << 20  # bytes that are hashed or sorted at a time
 RUN = 1024  # windows in a segment at most
 
 
@@ -276,17 +276,17 @@ def repeat_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     docs = _keyed(df, id_col, text_col).select(F.col("_r_id"), F.col("_r_th"), F.col("_r_text"))
     id_type, id_name = _arrow_type(docs, "_r_id"), docs.schema["_r_id"].dataType.simpleString()
-    found = docs.select(F.col("_r_id").alias("id"), F.col("_r_th").alias("th"), F.col("_r_text").alias("text")).mapInArrow(_segments(length, id_type), f"id {id_name}, th long, start long, n int, mh long, sh long, again boolean, route long, known boolean")
-    rows = stored(found.repartition("route").sortWithinPartitions("route").mapInArrow(_repeated_minimizers, f"id {id_name}, th long, start long, n int, mh long, sh long, again boolean"), "segments")
+    found = docs.select(F.col("_r_id").alias("id"), F.col("_r_th").alias("th"), F.col("_r_text").alias("text")).mapInArrow(frugal(_segments(length, id_type)), f"id {id_name}, th long, start long, n int, mh long, sh long, again boolean, route long, known boolean")
+    rows = stored(found.repartition("route").sortWithinPartitions("route").mapInArrow(frugal(_repeated_minimizers), f"id {id_name}, th long, start long, n int, mh long, sh long, again boolean"), "segments")
     kinds = rows.groupBy("mh", "sh").agg(F.count("*").alias("copies"), F.max("again").alias("again"), F.min(F.struct("id", "th", "start", "n")).alias("first"))
     mixed = kinds.groupBy("mh").agg(F.count("*").alias("kinds"), F.max("again").alias("any_again")).where("kinds > 1 or any_again")
     several = kinds.where("copies > 1")
     # one of equal segments, where its minimizer has others
     stand = kinds.join(mixed, "mh").select("mh", "copies", "kinds", "first.*")
     wanted = stand.groupBy("id", "th").agg(F.collect_list(F.struct("mh", F.when(F.col("kinds") > hot, -F.col("copies")).otherwise(F.col("copies")).alias("copies"), "start", "n")).alias("segs"))
-    cut = docs.join(wanted, _same(docs, wanted)).select("id", "th", F.col("_r_text").alias("text"), "segs").mapInArrow(_cut_segments(length, id_type), f"mh long, copies long, id {id_name}, th long, start long, bytes binary")
+    cut = docs.join(wanted, _same(docs, wanted)).select("id", "th", F.col("_r_text").alias("text"), "segs").mapInArrow(frugal(_cut_segments(length, id_type)), f"mh long, copies long, id {id_name}, th long, start long, bytes binary")
     cut = stored(cut, "edges")
-    sorted_ = cut.where("copies > 0").repartition("mh").sortWithinPartitions("mh", "id", "th", "start").mapInArrow(_sort_buckets(length, keep, id_type), f"id {id_name}, th long, low long, high long")
+    sorted_ = cut.where("copies > 0").repartition("mh").sortWithinPartitions("mh", "id", "th", "start").mapInArrow(frugal(_sort_buckets(length, keep, id_type)), f"id {id_name}, th long, low long, high long")
     windows = cut.where("copies < 0").mapInArrow(_window_hashes(length, id_type), f"w1 long, w2 long, id {id_name}, th long, pos long").distinct()
     classes = windows.groupBy("w1", "w2").agg(F.count("*").alias("many"), F.min(F.struct("id", "th", "pos")).alias("head")).where("many > 1")
     again = windows.join(classes, ["w1", "w2"])
@@ -334,7 +334,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = repeat_spans(df, id_col, text_col, length, keep).groupBy("id", "th").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     id_type, id_name = _arrow_type(docs, "_r_id"), docs.schema["_r_id"].dataType.simpleString()
     joined = docs.join(spans, _same(docs, spans), "left").select("_r_id", "_r_th", F.col("_r_text").alias("text"), "spans")
-    return joined.mapInArrow(_remove(id_type), f"_r_id {id_name}, _r_th long, kept binary, n_bytes long, n_removed long, n_spans long").drop("_r_th").withColumnRenamed("_r_id", id_col)
+    return joined.mapInArrow(frugal(_remove(id_type)), f"_r_id {id_name}, _r_th long, kept binary, n_bytes long, n_removed long, n_spans long").drop("_r_th").withColumnRenamed("_r_id", id_col)
 
 
 def without_later_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -355,7 +355,7 @@ def without_later_copies(df: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([*rest, texts], schema=schema)
 
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names[:-1])
-    return rows.mapInArrow(run, kinds).toDF(*(c for c in df.columns if c != text_col), text_col).select(*df.columns)
+    return rows.mapInArrow(frugal(run), kinds).toDF(*(c for c in df.columns if c != text_col), text_col).select(*df.columns)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import WordEncoder, in_chunks, spread, vocabulary
-from .common import read_table, stored, tokenizer_path, work_path
+from .common import frugal, read_table, stored, tokenizer_path, work_path
 from .simhash import _arrow_type
 
 MAGIC = b"RANSTOK1"
@@ -221,7 +221,7 @@ def write_tokens(df: DataFrame, out: str, id_col: str = "doc_id", text_col: str
             made = [np.append(m, np.int32(end_id)) for m in encoder.texts(texts)]
             yield pa.RecordBatch.from_arrays([pa.array([pack_segment(pa.array(ids, id_type), made, part, seq)], pa.binary())], schema=schema)
 
-    ordered.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.text(out)
+    ordered.mapInArrow(frugal(run), "value binary").select(F.col("value").cast("string")).write.text(out)
 
 
 def token_index(spark: SparkSession, out: str) -> DataFrame:
@@ -273,7 +273,7 @@ def read_tokens(spark: SparkSession, out: str, id_col: str = "doc_id", id_type:
                 yield pa.RecordBatch.from_arrays([listed.column("id"), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64()), ids], schema=schema)
 
     segments = token_index(spark, out).select("path", "at", "size", "start").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "at")
-    return segments.mapInArrow(run, f"id {id_type}, start long, n_tokens long, ids_crc32 long, ids array<int>").withColumnRenamed("id", id_col)
+    return segments.mapInArrow(frugal(run), f"id {id_type}, start long, n_tokens long, ids_crc32 long, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
