@@ -13,8 +13,32 @@ HIDDEN_STATES = ("UNVER", "NONE")
 SCORE = T.DecimalType(10, 4)
 
 
+_ATOMS = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "decimal(10,4)": SCORE}
+
+
+def _fields(text: str) -> list[str]:
+    """The parts between the commas that are not inside brackets."""
+    parts, depth = [""], 0
+    for c in text:
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            parts.append("")
+        else:
+            parts[-1] += c
+    return [p.strip() for p in parts]
+
+
+def _type(text: str) -> T.DataType:
+    if text.startswith("array<"):
+        return T.ArrayType(_type(text[6:-1]))
+    if text.startswith("struct<"):
+        return T.StructType([T.StructField(n, _type(t)) for n, t in (f.split(":", 1) for f in _fields(text[7:-1]))])
+    return _ATOMS[text]
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A schema from `name type, ...`, without a session."""
+    return T.StructType([T.StructField(n, _type(t)) for n, t in (f.split(" ", 1) for f in _fields(text))])
 
 
 RULE = "struct<journal:string,all_volume:boolean,volume_begin:int,volume_end:int,volume_number:int,partial_bibcode:string,volume_string:string>"
