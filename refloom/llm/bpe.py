@@ -26,7 +26,7 @@ from .simhash import _arrow_type
 #: Fixed value: how the vocabularies of this family cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 6 << 20  # characters that are encoded at a time
-WORDS = 400_000  # different words that a worker remembers
+WORDS = 600_000  # different words that a worker remembers
 
 
 def byte_letters() -> list[str]:
@@ -347,7 +347,9 @@ def in_chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[
         yield ids, texts
 
 
+@lru_cache(2)
 def pair_index_encoder(path: str) -> WordEncoder:
+    """One for a worker, which knows the words of earlier tasks."""
     vocab = vocabulary(path)
     return WordEncoder(vocab.special, vocab.encode_words)
 

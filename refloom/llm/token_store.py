@@ -19,6 +19,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -185,8 +186,9 @@ def unpack_segment(data: bytes) -> tuple[pa.RecordBatch, list[np.ndarray]]:
     return listed, np.split(stream, np.cumsum(listed.column("n").to_numpy())[:-1])
 
 
+@lru_cache(2)
 def library_encoder(path: str, remember: int = 600_000, special: bool = True) -> WordEncoder:
-    """Encodes with the tokenizers library, each different word once: its ids are the same alone and within a text. special=False: special strings are ordinary text."""
+    """Encodes with the tokenizers library, each different word once in a worker's life: its ids are the same alone and within a text. special=False: special strings are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
 
