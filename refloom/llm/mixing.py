@@ -58,6 +58,17 @@ def balanced_rate(target: Column, size: Column, steps: int = NEWTON_STEPS) -> Co
     return F.when((size > 0) & (target > 0), F.round(F.exp(newton), 12)).otherwise(0.0)
 
 
+def _bucket(docs: DataFrame) -> Column:
+    """Ranges of integer ids, so that order by bucket and id is order by id; hashes of other ids, or of ids too far apart. Null ids are in bucket -1."""
+    if docs.schema["id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        low, high = docs.agg(F.min("id"), F.max("id")).first()
+        if low is None:
+            return F.lit(-1)
+        if high - low < 1 << 62:
+            return F.coalesce(F.expr(f"(id - {low}L) div {(high - low) // BUCKETS + 1}L"), F.lit(-1))
+    return F.coalesce(F.when(F.col("id").isNotNull(), F.pmod(F.xxhash64("id"), F.lit(BUCKETS))), F.lit(-1))
+
+
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, carry: bool = False) -> DataFrame:
     """(id_col, size, source_size, target, copies, taken) for each row of df.
 
@@ -67,7 +78,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
     whole = [F.struct(*df.columns).alias("row")] if carry else []
     docs = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *whole)
-    docs = docs.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))
+    docs = docs.withColumn("bucket", _bucket(docs))
     cells = docs.groupBy("source", "size", "bucket").agg(F.count("*").alias("n"))
     sizes = cells.groupBy("source", "size").agg(F.sum("n").alias("n_size"))
     targets = source_targets(sizes.groupBy("source").agg(F.sum(F.col("n_size") * F.col("size")).alias("source_size")), weights, share, limit)
@@ -99,3 +110,16 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS w, 2 * source_size AS cap FROM s),
+l AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+  sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w, row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS nth FROM w),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT arg_min(rest / open_w, nth) FROM l WHERE rest / open_w * w <= cap) * w, cap)) AS target FROM l),
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 AND t.target > 0 THEN round(t.target / t.source_size, 12) ELSE 0.0::DOUBLE END AS rate,
+  row_number() OVER (PARTITION BY d.source ORDER BY d.size DESC, d.doc_id NULLS FIRST) AS nth FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST((floor(nth * rate + 0.5::DOUBLE) - floor((nth - 1) * rate + 0.5::DOUBLE)) * size AS BIGINT) AS taken FROM r
+"""

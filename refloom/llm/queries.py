@@ -20,4 +20,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_chat": chat.OP1_SQL,
     "op3_warc": warc.OP3_SQL,
+    "op5_mixing": mixing.OP5_SQL,
 }
