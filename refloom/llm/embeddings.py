@@ -27,7 +27,7 @@ from .simhash import local_roots
 
 THRESHOLD = 0.9
 PIVOTS = 64
-TILE = 200_000  # vectors in a tile, about
+TILE = 50_000  # vectors in a tile, about
 LEAST_TILES = 8
 MOST_TILES = 16384  # bounds what is sent to all tasks: a centre for each tile
 BLOCK = 1024
