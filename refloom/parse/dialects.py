@@ -372,7 +372,7 @@ def _university(raw_source: bool = False, series_volumes: bool = False, thesis_i
 
 def _nature(node: Node, f: dict, d: Dialect) -> dict:
     text = node.markup()
-    said = re.search(r"(?P<volume>[A-Z]?\d+)[\s,]+(?P<page>[BHPL]?\d+)", re.sub(r"<[^>]*>", " ", re.sub(r"(?is)<(atl|btl|refau|cd)\b.*?</\1>", " ", text)))
+    said = re.search(r"(?P<volume>[A-Z]?\d+)[\s,]+(?P<page>[BHPL]?\d+)", re.sub(r"<[^>]*>", " ", re.sub(r"(?is)<(atl|btl|jtl|refau|cd)\b.*?</\1>", " ", text)))
     only = re.search(r"[Vv]ol(?:ume|\.)?\s*(\d+)", f["_whole"])
     et_al = re.search(r"(?i)\bet[.\s]*al[.\s]", f["_whole"])
     group = re.search(r"(?i)^(.*?(?:Collaboration|Consortium|Group|Team)\b.*?)(?=<atl>)", re.sub(r"^<\w+[^>]*>", "", text))

@@ -1,0 +1 @@
+from . import parsing, registry  # noqa: F401
