@@ -64,13 +64,17 @@ def per_record_metrics(prepared: DataFrame) -> DataFrame:
     return prepared.agg(*(c for name, m in _measures().items() for c in stat_columns(m, f"{name}_")))
 
 
-def counts(prepared: DataFrame, exclude_stages: tuple[str, ...] = ()) -> DataFrame:
-    """Files and records seen, records submitted and failures; files and records of excluded stages aren't seen."""
+def _count_columns(exclude_stages: tuple[str, ...] = ()) -> list[Column]:
     seen = ~F.col("stage").isin(*exclude_stages) if exclude_stages else F.lit(True)
-    return prepared.agg(
+    return [
         F.count_distinct(F.when(seen, F.col("source_filename"))).alias("files_processed"), F.coalesce(F.sum(F.when(F.col("stage") == "ingest_enqueue", F.col("records"))), F.lit(0)).cast("long").alias("records_submitted"),
         F.count_distinct(F.when(seen, F.col("record_id"))).alias("records_processed"), F.count(F.when(~F.col("ok"), 1)).alias("failures"),
-    )
+    ]
+
+
+def counts(prepared: DataFrame, exclude_stages: tuple[str, ...] = ()) -> DataFrame:
+    """Files and records seen, records submitted and failures; files and records of excluded stages aren't seen."""
+    return prepared.agg(*_count_columns(exclude_stages))
 
 
 def errors_by_stage(prepared: DataFrame) -> DataFrame:
@@ -79,7 +83,7 @@ def errors_by_stage(prepared: DataFrame) -> DataFrame:
 
 def throughput(prepared: DataFrame, started_at: float | None = None, ended_at: float | None = None, mean_load: float | None = None) -> DataFrame:
     """Wall seconds, records a minute, and that times the mean load where it is above 1; null without a duration."""
-    both = counts(prepared).crossJoin(prepared.agg(F.min("ts").alias("first"), F.max("ts").alias("last")))  # two single rows
+    both = prepared.agg(*_count_columns(), F.min("ts").alias("first"), F.max("ts").alias("last"))
     start, end = (F.lit(v).cast("double") if v is not None else F.col(c) for v, c in ((started_at, "first"), (ended_at, "last")))
     wall = F.greatest(F.lit(0.0), end - start)
     records = F.when(F.col("records_processed") > 0, F.col("records_processed")).otherwise(F.col("records_submitted"))

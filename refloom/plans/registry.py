@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators import compare, history, ordered, routing, store, telemetry
+from ..operators import compare, history, ordered, quantiles, routing, store, telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -341,6 +341,11 @@ def stage_latency(spark, d):
     return _rounded(telemetry.stage_latency(_events(spark, d)))
 
 
+@register(f"SELECT stage, round(quantile_cont(duration_ms, 0.5), 6) AS p50, round(quantile_cont(duration_ms, 0.95), 6) AS p95, round(quantile_cont(duration_ms, 0.99), 6) AS p99 FROM {EVENTS_SQL} GROUP BY stage")
+def stage_percentiles_by_bands(spark, d):
+    return _rounded(quantiles.exact_percentiles(_events(spark, d), ["stage"], "duration_ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99}))
+
+
 @register(f"SELECT {MEASURES_SQL} FROM {EVENTS_SQL}")
 def per_record_metrics(spark, d):
     return _rounded(telemetry.per_record_metrics(_events(spark, d)))

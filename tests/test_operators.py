@@ -268,3 +268,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert json.loads((tmp_path / "b/out.json").read_text())["status"] == "complete" and "Run report" in (tmp_path / "b/out.md").read_text()
     with pytest.raises(SystemExit):
         cli.main([*base, "resolve", "--rate", "0"], spark)
+
+
+def test_exact_percentiles(spark):
+    from refloom.operators.quantiles import exact_percentiles
+
+    df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.when(F.col("id") % 7 > 0, F.sin(F.col("id")) * F.exp(F.col("id") % 11)).alias("v")).unionByName(spark.sql("select 9L k, cast(v as double) v from values (1), (2), (10), (40) t(v)")).unionByName(spark.sql("select 8L k, cast(null as double) v"))
+    wanted = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
+    got = {r.k: r for r in exact_percentiles(df, ["k"], "v", wanted).collect()}
+    want = {r.k: r for r in df.where("v is not null").groupBy("k").agg(*(F.percentile("v", F.lit(q)).alias(n) for n, q in wanted.items())).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][n] - want[k][n]) < 1e-9 for k in want for n in wanted)
