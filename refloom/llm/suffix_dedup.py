@@ -45,17 +45,21 @@ def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
 
     def ranked(values: np.ndarray) -> np.ndarray:
         order = np.argsort(values)
-        ordered = values[order]
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]]) if n else 0
-        return rank + np.uint64(1)  # 0 is left for what lies past the end
+        values = values[order]
+        grown = np.ones(n, np.uint32)  # 0 is left for what lies past the end
+        np.cumsum(values[1:] != values[:-1], dtype=np.uint32, out=grown[1:])
+        grown[1:] += 1
+        rank = np.empty(n, np.uint32)
+        rank[order] = grown
+        return rank
 
     rank, have = ranked(key), 8
     while have < depth:
         step = min(have, depth - have)
-        later = np.zeros(n, np.uint64)
-        later[: max(0, n - step)] = rank[step:]
-        rank = ranked(rank << np.uint64(32) | later)
+        key[:] = rank
+        key <<= np.uint64(32)
+        key[: max(0, n - step)] |= rank[step:]
+        rank = ranked(key)
         have += step
     return rank
 
@@ -235,11 +239,13 @@ def _sort_buckets(length: int, keep: str, id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
+        size = 0
         for table in sorted_groups(batches, "mh"):
-            held.append(table)
-            if sum(t.nbytes for t in held) >= CHUNK:
+            if held and size + table.nbytes > CHUNK:
                 yield emit(pa.concat_tables(held))
-                held = []
+                held, size = [], 0
+            held.append(table)
+            size += table.nbytes
         if held:
             yield emit(pa.concat_tables(held))
 
