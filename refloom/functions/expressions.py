@@ -252,6 +252,11 @@ def file_extension(c: Column) -> Column:
     return F.coalesce(nonempty(both), F.concat(F.lit("."), F.element_at(F.split(basename(c), r"\."), -1)))
 
 
+def classify_source(filename: Column, parser_extension: Column) -> Column:
+    """The kind of a source file: the extension that its parser is registered for, else what the name tells."""
+    return F.coalesce(nonempty(parser_extension), source_type(filename))
+
+
 def result_filename(c: Column, folder: str = "resolved") -> Column:
     return F.concat(F.replace(c, F.lit("sources"), F.lit(folder)), F.lit(".result"))
 

@@ -185,8 +185,8 @@ _LATEX = [(re.compile(p), re.sub(r"\$(\d)", r"\\\1", to)) for p, to in X.LATEX_R
 
 
 def latex_to_text(text: str, macros: dict[str, str] | None = None) -> str:
-    for macro in sorted(macros or {}, key=len, reverse=True):
-        text = re.sub(re.escape(macro) + r"\b", lambda m: macros[macro], text)
+    if macros and "\\" in text:
+        text = re.sub("|".join(re.escape(m) + r"\b" for m in sorted(macros, key=len, reverse=True)), lambda m: macros[m[0]], text)
     for pattern, to in _LATEX:
         text = pattern.sub(to, text)
     return text.strip()
@@ -242,6 +242,11 @@ def filename_bibcode(path: str) -> str | None:
     return m and m[1]
 
 
+def item_number(numbers: list | None, at: int) -> dict:
+    """The number of a reference in a buffer, as a field; none if there is no such."""
+    return {"item_num": numbers[at]} if numbers and -len(numbers) <= at < len(numbers) else {}
+
+
 def detect_format(text: str) -> str | None:
     for mark, name in ((r"<ADSBIBCODE>", "xml"), (r"\\adsbibcode\{", "tex"), (r"^%R ", "tag")):
         if re.search(mark, text, flags=re.M | re.I):

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import regex as re
 
 from . import base as B
+from .macros import MACROS
 
 Blocks = Iterator[tuple[str, list[str]]]
 Rules = list[tuple[str, str]]
@@ -109,7 +110,7 @@ def clean_eprint(text: str) -> str:
 
 
 def clean_latex(text: str) -> str:
-    return B.latex_to_text(B.entities_to_ascii(text))
+    return B.latex_to_text(B.entities_to_ascii(text), MACROS)
 
 
 # OCR -----------------------------------------------------------------------

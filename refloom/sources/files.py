@@ -119,3 +119,11 @@ def macro_table(lines: DataFrame) -> DataFrame:
 def parser_table(spark: SparkSession, path: str) -> DataFrame:
     """The parser table from JSON lines."""
     return spark.read.schema(f"name string, extension_pattern string, reference_service_endpoint string, matches array<{RULE}>").json(path)
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 16, **options: str) -> DataFrame:
+    """A table of a database; with a key and its bounds, read in so many ranges at a time."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if key and bounds:
+        reader = reader.options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions)
+    return reader.load()

@@ -88,6 +88,8 @@ def test_string_functions():
     assert B.entities_to_ascii("&eacute;&#233;&#xe9; __amp__ &unknown;") == "eee & &unknown;" and B.to_entities("é") == "&eacute;"
     assert B.format_authors("I. Affleck, A. W. W. Ludwig and D. L. Cox et al.") == "Affleck I., Ludwig A. W. W., Cox D. L., et al."
     assert B.latex_to_text(r"{\it Nature} \& \textbf{5}, \apj", {r"\apj": "ApJ"}) == "Nature & 5, ApJ"
+    assert FORMATS["ADStex"].clean(r"Smith, \apjl, 1; \adassxiv 3 \apjx") == r"Smith, ApJ, 1; Astronomical Data Analysis Software and Systems XIV 3 \apjx"
+    assert B.item_number([4, 5], 1) == B.item_number([4, 5], -1) == {"item_num": 5} and B.item_number([], 0) == B.item_number([4], 3) == {}
     assert B.detect_format("<ADSBIBCODE>x") == "xml" and B.detect_format(r"\adsbibcode{x}") == "tex" and B.detect_format("%R x") == "tag" and B.detect_format("x") is None
 
 
