@@ -58,6 +58,22 @@ def likeness(a: Column, b: Column, threshold: float = 0.0) -> Column:
     return F.coalesce(bound, F.when(exact >= threshold, exact).otherwise(F.lit(0.0)))
 
 
+def similar_pairs(queries: DataFrame, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(query_id, id, likeness) for each row of df that is alike a query by the threshold (above 0), itself included.
+
+    Sets are partitioned by length class, and a query visits its own class and the neighbours. Two sets as alike as that
+    share one of the first size - ceil(threshold * size) + 1 hashes of each, so only those are joined on; what the lengths
+    rule out is not compared. The search is exact. Texts without words (null, empty) are alike nothing.
+    """
+    shape = lambda d, i, s: d.select(F.col(id_col).alias(i), signatures(F.col(text_col)).alias(s)).where(F.size(s) > 0)
+    head = lambda s: F.explode(F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * threshold - 1e-9).cast("int") + 1))
+    own = length_class(F.col("q_set"), threshold)
+    asked = shape(queries, "query_id", "q_set").withColumn("class", F.explode(F.array(own - 1, own, own + 1))).withColumn("sig", head(F.col("q_set")))
+    held = shape(df, "id", "set").withColumn("class", length_class(F.col("set"), threshold)).withColumn("sig", head(F.col("set")))
+    met = asked.join(held, ["class", "sig"]).dropDuplicates(["query_id", "id", "q_set", "set"])
+    return met.withColumn("likeness", likeness(F.col("q_set"), F.col("set"), threshold)).where("likeness > 0").select("query_id", "id", "likeness")
+
+
 def next_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, next_id, next_th) for each different (id, xxhash64 of the text): the next by id and th, after the last the first.
 

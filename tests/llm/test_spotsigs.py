@@ -54,3 +54,24 @@ def test_pruning_is_exact(spark):
         for r in rows:
             assert r.cut == (r["all"] if r["all"] >= t else 0.0)
             assert r["all"] < t or abs(r.i - r.j) <= 1
+
+
+def test_search_is_exact(spark):
+    import random
+
+    r = random.Random(4)
+    words = ["the", "of", "cat", "dog", "sun", "der", "haus", "la", "old", "new", "sea", "air"]
+    base = [[r.choice(words) for _ in range(r.randrange(3, 60))] for _ in range(12)]
+    rows = [(None, ""), (900, None)]
+    for b in base:
+        for k in range(5):
+            w = list(b)
+            for _ in range(k):
+                w[r.randrange(len(w))] = r.choice(words)
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, set int")
+    sets = {i: slow_signatures(t) for i, t in rows if slow_signatures(t)}
+    for t in (0.5, 0.8):
+        got = sorted((x.query_id, x.id, round(x.likeness, 9)) for x in S.similar_pairs(df.where("doc_id % 3 = 0"), df, threshold=t).collect())
+        want = sorted((a, b, round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 9)) for a in sets if a is not None and a % 3 == 0 for b in sets if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= t)
+        assert got == want and len(got) > len([a for a in sets if a is not None and a % 3 == 0])
