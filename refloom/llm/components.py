@@ -29,9 +29,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for each node that has an edge to another; root is the smallest node of its component.
 
-    Edges may come in either direction and repeat; nulls and loops are ignored. No edges: no rows.
+    Edges may come in either direction and repeat; nulls and loops are ignored. No edges: no rows. The edges are written
+    before the first step, which reads them more than once: their plan may give another forest of the same components
+    each time it runs, and a step over two different forests could lose what holds a component together.
     """
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = checkpoint(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         edges = checkpoint(_small_star(_large_star(edges)))

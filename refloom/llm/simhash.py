@@ -202,7 +202,7 @@ def near_fingerprints(fps: DataFrame, limit: int = 2, hot: int = 16384) -> DataF
     spread = by_anchor.join(large, "anchor", "left_semi").select("fp").distinct().mapInArrow(_replicate(lambda z: z, radius), "anchor long, fp long")
     edges = None
     for rows in (by_anchor.join(large, "anchor", "left_anti"), spread):
-        part = rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(frugal(_forest(limit)), "a long, b long")
+        part = rows.repartition("anchor").sortWithinPartitions("anchor", "fp").mapInArrow(frugal(_forest(limit)), "a long, b long")
         edges = part if edges is None else edges.unionByName(part)
     return edges
 
