@@ -73,7 +73,7 @@ def reprocess(spark: SparkSession, store: Store, kind: str, resolver=resolve.moc
     """Parse and resolve again what a filter chooses, as new runs; returns the number of references."""
     t = {n: store.read(n) for n in ("resolved_reference", "processed_history", "reference_source")}
     batches = history.reprocess_batches(history.reprocess_rows(t["resolved_reference"], t["processed_history"], t["reference_source"], kind, **options))
-    loaded = as_loaded(parse_blocks(batches)).drop("parser_name").join(batches.select("source_filename", "parser_name", "source_modified").distinct(), "source_filename")
+    loaded = as_loaded(parse_blocks(batches)).drop("parser_name").join(batches.select("source_filename", "parser_name", "source_modified").dropDuplicates(["source_filename"]), "source_filename")
     staged = store.load(loaded.withColumns({"resolved_filename": F.lit(None).cast("string"), "date": F.current_timestamp()}), "retry")
     refs = staged.select("id", F.col("reference_str").alias("refstr"), F.col("reference_raw").alias("refraw"))
     store.resolve(resolve.answers(resolver(refs)))
