@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, frugal, over_rows, read_table, sorted_groups
+from .common import checkpoint, frugal, over_rows, read_table, sorted_groups, stored
 from .components import connected_components
 
 SEED = 42
@@ -229,6 +229,144 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     return df.join(drop.distinct(), id_col, "left_anti")
 
 
+# Similarity of 0.8 ---------------------------------------------------------
+#
+# At a Jaccard similarity of 0.8 of five-word shingles, about 15 % of a fingerprint's bits differ: ten of 64, too many
+# for any cover of 64 bits. There the anchors are slices of a wider fingerprint of word pairs, which edits change less: each
+# slice is a table, whose words are the anchors, with as many tables as a recall of 97 % at exactly 0.8 takes (99.8 % at 0.9),
+# and slices that grow with the logarithm of the number of texts, so that anchors stay small. Pairs that meet are
+# compared by 256 bits of five-word shingles.
+
+WIDE = 4  # 64-bit words of the compared fingerprint
+SLICE_AGREES = 0.905  # chance that a bit of word pairs agrees at 0.8
+
+
+def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
+    h = (h ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
+
+
+def _sums(h: np.ndarray, first_seed: int, words: int) -> np.ndarray:
+    """A fingerprint of 64 * words bits of a set of hashes."""
+    h = np.unique(h)
+    counts = np.zeros((words, 64), np.int64)
+    for at in range(0, len(h), 1 << 16):
+        part = h[at : at + (1 << 16)]
+        for k in range(words):
+            bits = np.unpackbits(_mixed(part, first_seed + k).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts[k] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(h), axis=1, bitorder="little").view("<u8").ravel()
+
+
+def sketch(text: str | None, width: int, tables: int, bits: int) -> tuple[list[int], list[int]]:
+    """(slices, wide): the table slices of word pairs and the wide fingerprint of shingles of `width` words; fewer words make one shingle."""
+    words = np.array([xxhash.xxh64_intdigest(w, SEED) for w in _words(text)], np.uint64)
+
+    def grams(n: int) -> np.ndarray:
+        n = max(1, min(n, len(words)))
+        out = np.zeros(max(1, len(words) - n + 1), np.uint64)
+        for k in range(n if len(words) else 0):
+            out += _mixed(words[k : k + len(out)], 101 + k)
+        return out
+
+    slices = np.unpackbits(_sums(grams(2), 1, -(-tables * bits // 64)).view(np.uint8), bitorder="little")[: tables * bits].reshape(tables, bits)
+    return (slices @ (1 << np.arange(bits, dtype=np.int64))).tolist(), _sums(grams(width), 51, WIDE).view(np.int64).tolist()
+
+
+def _near_in_tables(limit: int):
+    """Rows sorted by (slot, node) -> forest edges between nodes that meet and differ in at most `limit` bits."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def differ(wide: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(wide[:, x] ^ wide[:, y]).sum(axis=0)
+
+    def crowd(wide: np.ndarray, members: np.ndarray) -> tuple[list, list]:
+        """Of a large group: a spanning forest by searching from member to member; what is reached is not compared again."""
+        left, a, b = members, [], []
+        while len(left):
+            front, left = left[:1], left[1:]
+            while len(front) and len(left):
+                one, front = front[0], front[1:]
+                near = differ(wide, left, np.full(len(left), one)) <= limit
+                a.append(left[near])
+                b.append(np.full(near.sum(), one))
+                front, left = np.concatenate([front, left[near]]), left[~near]
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, "slot"):
+            key, node = table.column("slot").to_numpy(), table.column("node").to_numpy()
+            wide = np.stack([table.column(f"w{k}").to_numpy() for k in range(WIDE)]).view(np.uint64)
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            of_group = np.repeat(np.arange(len(starts)), sizes)
+            rows = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= 32), sizes))
+            a, b, shift = [], [], 1
+            while len(rows):
+                rows = rows[rows + shift < len(key)]
+                rows = rows[of_group[rows] == of_group[rows + shift]]
+                near = rows[differ(wide, rows, rows + shift) <= limit]
+                a.append(near)
+                b.append(near + shift)
+                shift += 1
+            for g in np.flatnonzero(sizes > 32):
+                x, y = crowd(wide, np.arange(starts[g], starts[g] + sizes[g]))
+                a += x
+                b += y
+            if not a:
+                continue
+            root = local_roots(len(key), np.concatenate(a), np.concatenate(b))
+            joined = np.flatnonzero(root != np.arange(len(key)))
+            if len(joined):
+                yield pa.RecordBatch.from_arrays([pa.array(node[joined]), pa.array(node[root[joined]])], schema=schema)
+
+    return run
+
+
+def table_shape(n: int) -> tuple[int, int]:
+    """(tables, bits of a slice) for n texts."""
+    bits = max(16, int(np.ceil(np.log2(n + 1))) - 2)
+    return int(np.ceil(3.6 / SLICE_AGREES**bits)), bits
+
+
+def wide_limit(similarity: float) -> int:
+    """Bits of the wide fingerprint that differ at a Jaccard similarity of sets of one size."""
+    return int(64 * WIDE * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id_col, component_id) by links of texts whose shingles of `width` words are alike by the similarity, as fingerprints tell it.
+
+    Equal fingerprints are collapsed first. Null, empty and blank texts are alike. Repeated rows come back as often as they
+    came; null ids take part and are a component_id only of a component without others. Extra columns are ignored.
+    """
+    tables, bits = table_shape(df.count())
+    kept = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    wide = [f"w{k}" for k in range(WIDE)]
+    schema = pa.schema([("id", _arrow_type(kept, "id")), ("slices", pa.list_(pa.int64())), *((w, pa.int64()) for w in wide)])
+
+    def make(cols: dict[str, list]) -> dict[str, object]:
+        made = [sketch(t, width, tables, bits) for t in cols["text"]]
+        return {"id": cols["id"], "slices": [m[0] for m in made]} | {w: [m[1][k] for m in made] for k, w in enumerate(wide)}
+
+    kinds = ", ".join(f"{w} long" for w in wide)
+    prints = stored(kept.mapInArrow(frugal(over_rows(make, schema)), f"id {kept.schema['id'].dataType.simpleString()}, slices array<long>, {kinds}"), "sketches")
+    nodes = stored(prints.groupBy(*wide).agg(F.min("id").alias("low"), F.min("slices").alias("slices")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    slots = nodes.select("node", *wide, F.posexplode("slices").alias("t", "s")).select(F.xxhash64("t", "s").alias("slot"), "node", *wide)
+    edges = slots.repartition("slot").sortWithinPartitions("slot", "node").mapInArrow(frugal(_near_in_tables(wide_limit(similarity))), "a long, b long")
+    roots = connected_components(edges).select(F.col("node").alias("of"), F.col("root").alias("top"))
+    classed = stored(nodes.join(roots, F.col("node") == F.col("of"), "left").select(*wide, "low", F.coalesce("top", "node").alias("top")), "classes")
+    names = classed.groupBy("top").agg(F.min("low").alias("component_id"))
+    return prints.join(classed.join(names, "top").select(*wide, "component_id"), wide).select(F.col("id").alias(id_col), "component_id")
+
+
+def keep_first_similar(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """df with one row of each group of similar_documents(): that with the smallest id; null ids stay."""
+    drop = similar_documents(df, id_col, **options).where(F.col(id_col) > F.col("component_id")).select(id_col)
+    return df.join(drop.distinct(), id_col, "left_anti")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
