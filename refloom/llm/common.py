@@ -80,8 +80,8 @@ def over_rows(make: Callable[[dict[str, list]], dict[str, object]], schema: pa.S
     return run
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables that each hold whole groups of equal keys, from batches that are sorted by key."""
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, most: int | None = None) -> Iterator[pa.Table]:
+    """Tables that each hold whole groups of equal keys, from batches that are sorted by key. A group of over `most` rows comes in parts, in tables one after another."""
     import pyarrow.compute as pc
 
     held: list[pa.RecordBatch] = []
@@ -93,6 +93,9 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
         first_of_last = pc.index(keys, last).as_py()
         if held and held[-1].column(key)[-1] == last:  # one group all the way
             held.append(batch)
+            if most and sum(b.num_rows for b in held) > most:
+                yield pa.Table.from_batches(held)
+                held = []
             continue
         done = pa.Table.from_batches([*held, batch.slice(0, first_of_last)])
         if done.num_rows:

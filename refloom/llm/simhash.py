@@ -274,8 +274,13 @@ def sketch(text: str | None, width: int, tables: int, bits: int) -> tuple[list[i
     return (slices @ (1 << np.arange(bits, dtype=np.int64))).tolist(), _sums(grams(width), 51, WIDE).view(np.int64).tolist()
 
 
-def _near_in_tables(limit: int):
-    """Rows sorted by (slot, node) -> forest edges between nodes that meet and differ in at most `limit` bits."""
+def _near_in_tables(limit: int, most: int):
+    """Rows sorted by (slot, node) -> forest edges between nodes that meet and differ in at most `limit` bits.
+
+    A group of over `most` rows is read in parts. One member of each local component of a part goes on to the next, and
+    others, evenly, to half of `most`, so what a task holds stays small. A pair of which neither goes on can still meet in
+    the other tables, or through a third text.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def differ(wide: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -295,9 +300,12 @@ def _near_in_tables(limit: int):
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, "slot"):
+        carried = None
+        for table in sorted_groups(batches, "slot", most):
             key, node = table.column("slot").to_numpy(), table.column("node").to_numpy()
             wide = np.stack([table.column(f"w{k}").to_numpy() for k in range(WIDE)]).view(np.uint64)
+            if carried and carried[0] == key[0]:
+                key, node, wide = np.r_[np.full(len(carried[1]), key[0]), key], np.r_[carried[1], node], np.concatenate([carried[2], wide], axis=1)
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             sizes = np.diff(np.r_[starts, len(key)])
             of_group = np.repeat(np.arange(len(starts)), sizes)
@@ -314,12 +322,17 @@ def _near_in_tables(limit: int):
                 x, y = crowd(wide, np.arange(starts[g], starts[g] + sizes[g]))
                 a += x
                 b += y
-            if not a:
-                continue
-            root = local_roots(len(key), np.concatenate(a), np.concatenate(b))
+            root = local_roots(len(key), np.concatenate(a), np.concatenate(b)) if a else np.arange(len(key))
             joined = np.flatnonzero(root != np.arange(len(key)))
             if len(joined):
                 yield pa.RecordBatch.from_arrays([pa.array(node[joined]), pa.array(node[root[joined]])], schema=schema)
+            on = np.arange(starts[-1], len(key))
+            if len(on) > most:
+                first = root[on] == on
+                on = np.concatenate([on[first], on[~first][:: max(1, len(on) // (most // 2))]])
+            else:
+                on = on[:0]
+            carried = (key[-1], node[on], wide[:, on]) if len(on) else None
 
     return run
 
@@ -335,7 +348,7 @@ def wide_limit(similarity: float) -> int:
     return int(64 * WIDE * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, most: int = 65536) -> DataFrame:
     """(id_col, component_id) by links of texts whose shingles of `width` words are alike by the similarity, as fingerprints tell it.
 
     Equal fingerprints are collapsed first. Null, empty and blank texts are alike. Repeated rows come back as often as they
@@ -354,7 +367,7 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = stored(kept.mapInArrow(frugal(over_rows(make, schema)), f"id {kept.schema['id'].dataType.simpleString()}, slices array<long>, {kinds}"), "sketches")
     nodes = stored(prints.groupBy(*wide).agg(F.min("id").alias("low"), F.min("slices").alias("slices")).withColumn("node", F.monotonically_increasing_id()), "nodes")
     slots = nodes.select("node", *wide, F.posexplode("slices").alias("t", "s")).select(F.xxhash64("t", "s").alias("slot"), "node", *wide)
-    edges = slots.repartition("slot").sortWithinPartitions("slot", "node").mapInArrow(frugal(_near_in_tables(wide_limit(similarity))), "a long, b long")
+    edges = slots.repartition("slot").sortWithinPartitions("slot", "node").mapInArrow(frugal(_near_in_tables(wide_limit(similarity), most)), "a long, b long")
     roots = connected_components(edges).select(F.col("node").alias("of"), F.col("root").alias("top"))
     classed = stored(nodes.join(roots, F.col("node") == F.col("of"), "left").select(*wide, "low", F.coalesce("top", "node").alias("top")), "classes")
     names = classed.groupBy("top").agg(F.min("low").alias("component_id"))
