@@ -105,8 +105,8 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> tuple
     return earlier, any_
 
 
-def _minimizers(data: np.ndarray, gram: int, windows: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each run of `windows` (under 1024) k-grams: their least hash (54 bits), and whether it is at more than one place."""
+def _minimizers(data: np.ndarray, gram: int, windows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each run of `windows` (under 1024) k-grams: their least hash (54 bits), and its lowest and its highest place."""
     table = np.random.default_rng(20).integers(0, 1 << 63, 256, np.uint64)
     h, base, have = table[data], np.uint64(0x9E3779B97F4A7C15 | 1), 1
     power = np.array([base])
@@ -124,7 +124,9 @@ def _minimizers(data: np.ndarray, gram: int, windows: int) -> tuple[np.ndarray,
         step = min(have, windows - have)
         ends = [np.minimum(e[:-step], e[step:]) for e in ends]
         have += step
-    return ends[0] >> np.uint64(10), ends[0] & np.uint64(1023) != np.uint64(1023) - (ends[1] & np.uint64(1023))
+    begin = np.arange(len(ends[0]))
+    low, high = (ends[0] & np.uint64(1023)).astype(np.int64), 1023 - (ends[1] & np.uint64(1023)).astype(np.int64)
+    return ends[0] >> np.uint64(10), begin + (low - begin & 1023), begin + (high - begin & 1023)
 
 
 def _segments(length: int, id_type: pa.DataType):
@@ -133,13 +135,14 @@ def _segments(length: int, id_type: pa.DataType):
     def emit(units: list[tuple[object, int, int, bytes]]) -> pa.RecordBatch:
         joined = b"".join(u[3] for u in units)
         data = np.frombuffer(joined, np.uint8)
-        low, twice = _minimizers(data, GRAM, length - GRAM + 1)
+        low, lowest, highest = _minimizers(data, GRAM, length - GRAM + 1)
         sizes = np.array([len(u[3]) for u in units])
         offsets = np.cumsum(sizes) - sizes
         counts = sizes - (length - 1)  # windows of each unit
         unit = np.repeat(np.arange(len(units)), counts)
         at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        mins, twice = low[offsets[unit] + at], twice[offsets[unit] + at]
+        window = offsets[unit] + at
+        mins = low[window]
         new = np.ones(len(at), bool)
         new[1:] = (mins[1:] != mins[:-1]) | (unit[1:] != unit[:-1])
         first = np.flatnonzero(new)
@@ -150,7 +153,7 @@ def _segments(length: int, id_type: pa.DataType):
             whole = np.repeat(many, pieces)
             first = np.repeat(first, pieces) + inner * RUN
             many = np.minimum(RUN, whole - inner * RUN)
-        again = np.logical_or.reduceat(twice, first)
+        again = lowest[window[first]] != highest[window[first + many - 1]]  # two places in one window, or in different ones
         mh, of = mins[first].view(np.int64), unit[first]
         begin = (offsets[of] + at[first]).tolist()
         digest, view = xxhash.xxh3_64_intdigest, memoryview(joined)

@@ -84,3 +84,15 @@ def test_truncated_factors_agree_with_whole_ones():
     starts = np.arange(len(data) - 31)
     earlier, _ = S.repeated_windows(np.frombuffer(data, np.uint8), starts, 32)
     assert earlier.tolist() == [lpf[i] >= 32 for i in starts]
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_a_text_that_repeats_itself_with_periods_about_the_grams_of_a_window(spark, keep):
+    r = random.Random(4)
+    rows = []
+    for period in (168, 169, 170):
+        for times in (3, 7, 20):
+            rows.append((len(rows), ("".join(r.choice("abcdefgh ") for _ in range(period - 1)) + "\n") * times))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(bytes(x.kept)).hexdigest()) for x in S.remove_repeats(df, keep=keep).collect()), key=str)
+    assert got == brute(rows, 200, keep)
