@@ -86,21 +86,6 @@ def test_empty_table_and_kept_rows(spark):
     assert sorted((r.doc_id, r.fp) for r in kept if r.doc_id is not None) == [(1, "x"), (3, "x")]
 
 
-def slow_similar(rows, similarity=0.8, width=5):
-    """Components by comparing all pairs that share a slice."""
-    tables, bits = S.table_shape(len(rows))
-    made = [S.sketch(t, width, tables, bits) for _, t in rows]
-    wide = np.array([m[1] for m in made], np.int64).view(np.uint64)
-    slices = np.array([m[0] for m in made])
-    a, b = np.nonzero((np.bitwise_count(wide[:, None] ^ wide[None]).sum(axis=2) <= S.wide_limit(similarity)) & (slices[:, None] == slices[None]).any(axis=2))
-    root = S.local_roots(len(rows), a, b)
-    low = {}
-    for (i, _), r in zip(rows, root):
-        if i is not None:
-            low[r] = min(i, low.get(r, i))
-    return sorted(((i, low.get(r)) for (i, _), r in zip(rows, root)), key=str)
-
-
 def near_copies(n_docs=12, copies=60, seed=6):
     """(rows, {id: (base, similarity of five-word shingles to it)}): every base has copies with from none to many words changed."""
     r = random.Random(seed)
@@ -115,26 +100,3 @@ def near_copies(n_docs=12, copies=60, seed=6):
             told[len(rows)] = (d, len(shingles(w) & shingles(base)) / len(shingles(w) | shingles(base)))
             rows.append((len(rows), " ".join(w)))
     return rows, told
-
-
-def test_groups_in_parts(spark):
-    """Crowded slots that are read in parts lose hardly a link, though here a part is far smaller than ever in use."""
-    rows, told = near_copies(n_docs=3, copies=400)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    of = {r.doc_id: r.component_id for r in S.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), most=20).collect()}
-    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    want = dict(slow_similar(rows))
-    assert np.mean([of[i] == want[i] for i in told]) > 0.98 and not any(told[i][0] != told[c][0] for i, c in of.items() if i in told and c in told)
-
-
-def test_similar_documents(spark):
-    rows, told = near_copies()
-    rows += [(None, rows[-1][1]), (5, "twice"), (5, "twice"), (7000, " ".join(["same"] * 60000))]
-    got = sorted(((r.doc_id, r.component_id) for r in S.similar_documents(spark.createDataFrame([(*x, 1, "x") for x in rows], "doc_id long, text string, w0 int, slices string")).collect()), key=str)
-    assert got == slow_similar(rows)
-    of = dict(x for x in got if x[0] is not None)
-    first = {d: min(i for i, (e, _) in told.items() if e == d) for d, _ in told.values()}
-    close = [of[i] == of[first[d]] for i, (d, j) in told.items() if j >= 0.85]
-    assert sum(close) > 0.95 * len(close)
-    assert len({of[i] for i in first.values()}) == len(first)  # no base is taken for another
-    assert S.similar_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
