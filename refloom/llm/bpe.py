@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -147,17 +148,15 @@ PIECE = 1 << 20  # characters that are cut into words at a time
 
 
 @lru_cache(1)
-def _latin_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each Latin-1 character, a random number for it, and powers for places in a word."""
+def _latin_classes() -> np.ndarray:
+    """Class of each Latin-1 character."""
     kinds = [regex.compile(k) for k in (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]", r"\s")]
-    classes = np.array([next(k for k, r in enumerate(kinds) if r.match(chr(c))) for c in range(256)], np.uint8)
-    return classes, np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64), np.cumprod(np.full(PIECE, 0x9E3779B97F4A7C15, np.uint64))
+    return np.array([next(k for k, r in enumerate(kinds) if r.match(chr(c))) for c in range(256)], np.uint8)
 
 
 def latin_words(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """Where the words of PATTERN start in Latin-1 texts one after another; texts: where each (none empty) starts."""
-    classes = _latin_tables()[0]
-    kind = classes[data]
+    kind = _latin_classes()[data]
     new = np.r_[True, kind[1:] != kind[:-1]]
     first = np.zeros(len(data) + 1, bool)
     first[texts] = first[-1] = True
@@ -189,50 +188,75 @@ def latin_words(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(mark[:-1])
 
 
-class HashIndex:
-    """Numbers for 64-bit hashes, looked up all at once: open addressing in arrays."""
+SHORT = 15  # bytes of a word that two 64-bit numbers hold, with its length
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_keys(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word of at most SHORT bytes as two 64-bit numbers: its bytes, and its length in the last."""
+    padded = data + bytes(16)
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    low, high = eight[starts] & _MASKS[np.minimum(lengths, 8)], eight[starts + 8] & _MASKS[np.clip(lengths - 8, 0, 7)]
+    return low, high | lengths.astype(np.uint64) << np.uint64(56)
+
+
+class WordIndex:
+    """Numbers for words of word_keys(), looked up all at once and compared whole: open addressing in arrays."""
 
     def __init__(self, bits: int = 16) -> None:
-        self.mask, self.used = np.uint64((1 << bits) - 1), 0
-        self.keys, self.numbers = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each hash (none is 0), -1 if there is none."""
-        slot = hashes & self.mask
-        there = self.keys[slot]
-        out = np.where(there == hashes, self.numbers[slot], -1)
-        open_ = np.flatnonzero((there != hashes) & (there != 0))
+        self.used = 0
+        self.factors = np.frombuffer(os.urandom(16), np.uint64) | np.uint64(1)
+        self._clear(1 << bits)
+
+    def _clear(self, size: int) -> None:
+        self.shift = np.uint64(64 - (size.bit_length() - 1))
+        self.low, self.high, self.numbers = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.int32)
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        mixed = (low ^ low >> np.uint64(32)) * self.factors[0] + (high ^ high >> np.uint64(32)) * self.factors[1]
+        return ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)) >> self.shift
+
+    def _next(self, slot: np.ndarray) -> np.ndarray:
+        return slot + np.uint64(1) & np.uint64(len(self.low) - 1)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 if there is none."""
+        slot = self._slots(low, high)
+        there = self.high[slot]
+        hit = (there == high) & (self.low[slot] == low)
+        out = np.where(hit, self.numbers[slot], -1)
+        open_ = np.flatnonzero(~hit & (there != 0))
         while len(open_):
-            slot[open_] = slot[open_] + np.uint64(1) & self.mask
-            there = self.keys[slot[open_]]
-            hit = there == hashes[open_]
+            slot[open_] = self._next(slot[open_])
+            there = self.high[slot[open_]]
+            hit = (there == high[open_]) & (self.low[slot[open_]] == low[open_])
             out[open_[hit]] = self.numbers[slot[open_[hit]]]
             open_ = open_[~hit & (there != 0)]
         return out
 
-    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
-        """New different hashes."""
-        self.used += len(hashes)
-        if self.used * 3 > len(self.keys):
-            old, self.mask = self.keys != 0, np.uint64((1 << int(self.used * 4).bit_length()) - 1)
-            hashes, numbers = np.r_[self.keys[old], hashes], np.r_[self.numbers[old], numbers]
-            self.keys, self.numbers = np.zeros(int(self.mask) + 1, np.uint64), np.zeros(int(self.mask) + 1, np.int32)
-        slot = hashes & self.mask
-        while len(hashes):
-            free = np.flatnonzero(self.keys[slot] == 0)
+    def add(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> None:
+        """New different words."""
+        self.used += len(low)
+        if self.used * 3 > len(self.low):
+            old = self.high != 0
+            low, high, numbers = np.r_[self.low[old], low], np.r_[self.high[old], high], np.r_[self.numbers[old], numbers]
+            self._clear(1 << int(self.used * 4).bit_length())
+        slot = self._slots(low, high)
+        while len(low):
+            free = np.flatnonzero(self.high[slot] == 0)
             _, one = np.unique(slot[free], return_index=True)
             take = free[one]
-            self.keys[slot[take]], self.numbers[slot[take]] = hashes[take], numbers[take]
-            left = np.ones(len(hashes), bool)
+            self.low[slot[take]], self.high[slot[take]], self.numbers[slot[take]] = low[take], high[take], numbers[take]
+            left = np.ones(len(low), bool)
             left[take] = False
-            hashes, numbers, slot = hashes[left], numbers[left], slot[left] + np.uint64(1) & self.mask
+            low, high, numbers, slot = low[left], high[left], numbers[left], self._next(slot[left])
 
 
 class WordEncoder:
     """Encodes texts word by word; `encode` gets the different new words and returns all their ids and the number of each word's.
 
-    Latin-1 texts are cut into words by array operations, and their words told apart by 64-bit hashes (of at most
-    `remember` words at a time); other texts by the pattern itself and a dict.
+    Latin-1 texts are cut into words by array operations, and their words of up to SHORT bytes looked up whole in arrays;
+    longer words, and those that the pattern cuts from other texts, in a dict. At most about `remember` words are held.
     """
 
     def __init__(self, special: dict[str, int], encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], remember: int = WORDS) -> None:
@@ -243,7 +267,7 @@ class WordEncoder:
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.hashes = HashIndex()
+        self.short = WordIndex()
         self.new: list[bytes] = []
         self.known = 0
         self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -263,27 +287,26 @@ class WordEncoder:
 
     def _latin(self, texts: list[bytes]) -> list[np.ndarray]:
         """As words_of(), of Latin-1 texts without special strings, none empty."""
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        joined = b"".join(texts)
         sizes = np.array([len(t) for t in texts])
         begin = np.cumsum(sizes) - sizes
-        starts = latin_words(data, begin)
-        lengths = np.diff(np.r_[starts, len(data)])
-        _, chance, powers = _latin_tables()
-        place = np.arange(len(data)) - np.repeat(starts, lengths)
-        terms = chance[data] * (powers[place] if len(data) <= PIECE or not len(place) or place.max() < PIECE else powers[place % PIECE] ^ (place // PIECE).astype(np.uint64))
-        hashes = np.add.reduceat(terms, starts) * np.uint64(0xD6E8FEB86659FD93) ^ lengths.astype(np.uint64)
-        hashes ^= hashes >> np.uint64(31)
-        hashes[hashes == 0] = 1
-        numbers = self.hashes.find(hashes)
+        starts = latin_words(np.frombuffer(joined, np.uint8), begin)
+        lengths = np.diff(np.r_[starts, len(joined)])
+        word = lambda k: joined[starts[k] : starts[k] + lengths[k]].decode("latin-1")
+        short = lengths <= SHORT
+        low, high = word_keys(joined, starts, np.minimum(lengths, SHORT))
+        numbers = np.full(len(starts), -1, np.int32)
+        numbers[short] = self.short.find(low[short], high[short])
+        for k in np.flatnonzero(~short):
+            numbers[k] = self._number(word(k))
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
-            fresh, at, inverse = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            at = missing[at]
-            joined = data.tobytes()
-            base = self.known + len(self.new)
-            self.new += [joined[s : s + n].decode("latin-1").encode() for s, n in zip(starts[at].tolist(), lengths[at].tolist())]
-            self.hashes.add(fresh, np.arange(base, base + len(fresh), dtype=np.int32))
-            numbers[missing] = base + inverse
+            missing = missing[np.lexsort((low[missing], high[missing]))]
+            first = np.r_[True, (low[missing[1:]] != low[missing[:-1]]) | (high[missing[1:]] != high[missing[:-1]])]
+            at, base = missing[first], self.known + len(self.new)
+            self.new += [word(k).encode() for k in at.tolist()]
+            self.short.add(low[at], high[at], np.arange(base, base + len(at), dtype=np.int32))
+            numbers[missing] = base + np.cumsum(first) - 1
         return np.split(numbers, np.searchsorted(starts, begin[1:]))
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:

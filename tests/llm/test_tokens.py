@@ -22,9 +22,16 @@ def texts():
     rows = ["", None, "<|endoftext|>", "a<|endoftext|> <|endoftext|>b<|endoftext|", "   ", "  \n \n x", "aaaaaaaaaaaaa", "a" * 30000, "ab" * 5000 + " " * 3000, "don't 'tis 're'll''s 's"]
     rows += ["".join(r.choice(mixed) for _ in range(r.randrange(60))) for _ in range(200)]
     rows += ["".join(r.choice(latin) for _ in range(r.randrange(30))) for _ in range(600)]
+    rows += [w for n in (8, 15, 16, 1024, 2048) for w in twins(n)] + [" ".join(twins(1024)), "a\0 b\0\0 c\0b", "\0", "\0\0", "123456789012345 1234567890123456 12345678901234567 12345678"]
     return rows + rows[3:6]
 
 
+def twins(n):
+    """Words of one length that polynomial hashes modulo a power of two don't tell apart: a Thue-Morse word and its complement."""
+    word = "".join("ab"[k.bit_count() & 1] for k in range(n))
+    return [word, word.translate(str.maketrans("ab", "ba"))]
+
+
 def want_ids(rows):
     return [e.ids for e in LIBRARY.encode_batch([t or "" for t in rows], add_special_tokens=False)]
 
@@ -39,6 +46,19 @@ def test_encoders_agree_with_the_library(monkeypatch, make):
         assert [m.tolist() for m in encoder.texts(part)] == want_ids(part)
 
 
+def test_words_that_meet_in_the_index_are_told_apart(monkeypatch):
+    r = random.Random(7)
+    words = list(dict.fromkeys("".join(r.choice("ab\0é") for _ in range(r.randrange(1, 16))).encode("latin-1") for _ in range(3000)))
+    data, lengths = b"".join(words), np.array([len(w) for w in words])
+    low, high = B.word_keys(data, np.cumsum(lengths) - lengths, lengths)
+    index = B.WordIndex(4)
+    monkeypatch.setattr(index, "_slots", lambda low, high: low & np.uint64(3))  # nearly all meet
+    for k in range(0, len(words), 100):
+        index.add(low[k : k + 100], high[k : k + 100], np.arange(k, min(k + 100, len(words)), dtype=np.int32))
+    assert index.find(low, high).tolist() == list(range(len(words)))
+    assert (index.find(low ^ np.uint64(1 << 63), high | np.uint64(1 << 55)) == -1).all()
+
+
 def test_words_by_arrays_agree_with_the_pattern():
     r = random.Random(9)
     find = B.regex.compile(B.PATTERN).findall
@@ -113,6 +133,7 @@ def test_chat(spark):
     say = lambda: "".join(r.choice(bits) for _ in range(r.randrange(12)))
     rows = [(c, t, r.choice(["user", "assistant", "a:b", "###", None]), r.choice([say(), None, ""])) for c in range(20) for t in range(r.randrange(1, 6))]
     rows += [(None, 0, "user", "x"), (None, None, "assistant", "y"), (50, 1, "assistant", "same"), (50, 1, "assistant", "same"), (51, 0, "assistant", "long \\" * 30000)]
+    rows += [(60, k, "assistant", w) for k, w in enumerate(twins(1024))]
     df = spark.createDataFrame([(*x, 1) for x in rows], "conv_id long, turn long, role string, text string, rank int")
     turns = C.format_turns(df)
     for t in turns.collect():
