@@ -27,6 +27,8 @@ from .simhash import _arrow_type
 MAGIC = b"\x1f\x8b\x08"
 RANGE = 4 << 20
 LOOK = 1 << 16
+BATCH = 4 << 20  # bytes of payload that are returned at a time, and one record
+PAGES = ("response", "resource", "conversion", "revisit")
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = MAGIC + bytes(6) + b"\xff" + b"\x03\x00" + bytes(8)
@@ -94,24 +96,58 @@ def _decode(read, at: int, data: bytes) -> tuple[bytes, int] | None:
             return None
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by lower-case name; folded lines belong to the one before."""
+    out: dict[str, str] = {}
+    name = None
+    for line in lines:
+        if line[:1] in (" ", "\t") and name:
+            out[name] += " " + line.strip()
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            name = name.strip().lower()
+            out[name] = value.strip()
+    return out
+
+
+def _number(told: str | None) -> int | None:
+    return int(told) if told is not None and told.isdecimal() else None
+
+
 def _parse(record: bytes) -> tuple | None:
+    """What a record says; () of a record that is no page (warcinfo, request, metadata), None if it is no WARC record.
+
+    Fields that a record lacks are null. A payload is held against its digest if that is a whole SHA-1 and nothing was truncated.
+    """
     head, gap, rest = record.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "surrogatepass").split("\r\n")
+    lines = head.decode("utf-8", "surrogateescape").split("\r\n")
     if not gap or not lines[0].startswith("WARC/1."):
         return None
-    fields = dict(line.split(": ", 1) for line in lines[1:])
-    block = rest[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    kind = fields["WARC-Type"]
-    if kind == "response":
-        if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-            raise ValueError(f"payload digest differs in {fields['WARC-Record-ID']}")
-        size = len(payload)
+    fields = _fields(lines[1:])
+    kind = fields.get("warc-type", "").lower()
+    if kind not in PAGES:
+        return ()
+    length = _number(fields.get("content-length"))
+    block = rest[:length] if length is not None else rest.removesuffix(b"\r\n\r\n")
+    payload = block
+    if kind == "revisit" or fields.get("content-type", "application/http").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    digest = fields.get("warc-payload-digest")
+    bare = digest[5:].upper() if digest and digest.lower().startswith("sha1:") else digest
+    if kind == "revisit":
+        size, payload = _number(_fields(http.decode("latin-1").split("\r\n")[1:]).get("content-length")), None
     else:
-        size = int(dict(line.split(": ", 1) for line in http.decode("latin-1").split("\r\n")[1:])["Content-Length"])
-    page = lambda name: None if name not in fields or fields[name] == "<urn:x-page:null>" else fields[name][len("<urn:x-page:") : -1]
-    return page("WARC-Record-ID"), fields.get("WARC-Target-URI"), kind, size, digest, page("WARC-Refers-To"), payload if kind == "response" else None
+        size = len(payload)
+        if bare != digest and len(bare) == 32 and "warc-truncated" not in fields and base64.b32encode(hashlib.sha1(payload).digest()).decode() != bare:
+            raise ValueError(f"payload digest differs in {fields.get('warc-record-id')}")
+    return _page(fields.get("warc-record-id")), fields.get("warc-target-uri"), kind, size, bare, _page(fields.get("warc-refers-to")), payload
+
+
+def _page(name: str | None) -> str | None:
+    """The id in a record's name: that of a page of ours, else what stands between the brackets."""
+    if name is None or name == "<urn:x-page:null>":
+        return None
+    return name[len("<urn:x-page:") : -1] if name.startswith("<urn:x-page:") else name.removeprefix("<").removesuffix(">")
 
 
 def read_range(path: str, start: int, end: int) -> Iterator[tuple]:
@@ -124,16 +160,18 @@ def read_range(path: str, start: int, end: int) -> Iterator[tuple]:
         data, at = read(start, end - start + len(MAGIC) - 1), 0
         while (at := data.find(MAGIC, at)) >= 0 and start + at < end:
             found = _decode(read, start + at, data[at : at + LOOK])
-            record = found and _parse(found[0])
+            record = _parse(found[0]) if found else None
             if record:
                 yield record
-                at += found[1]
-            else:
-                at += 1
+            at += 1 if record is None else found[1]
 
 
 def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE, with_payload: bool = True, id_type: str = "long") -> DataFrame:
-    """(page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload) for each record; payload is null for revisits."""
+    """(page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload) for each response, resource, conversion and revisit.
+
+    Records of other kinds are passed over, and so is a last member that is cut off. Fields that a record lacks are null; so are
+    the payload of a revisit, and ids that are not of id_type (read archives of others with id_type="string").
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
     schema = pa.schema([("page_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("payload", pa.binary())])
@@ -142,16 +180,18 @@ def read_warc(spark: SparkSession, path: str, range_bytes: int = RANGE, with_pay
         for batch in batches:
             for name, length, start in zip(*(c.to_pylist() for c in batch.columns)):
                 held: list[tuple] = []
+                size = 0
                 for record in read_range(name, start, min(length, start + range_bytes)):
                     held.append(record if with_payload else (*record[:-1], None))
-                    if len(held) == 256:
+                    size += len(held[-1][-1] or b"")
+                    if len(held) == 256 or size >= BATCH:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-                        held = []
+                        held, size = [], 0
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
     read = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "start").mapInArrow(run, "page_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary")
-    return read.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
+    return read.withColumns({c: F.col(c).try_cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

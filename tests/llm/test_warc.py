@@ -58,3 +58,44 @@ def test_empty(spark):
     path = work_path(spark, "w")
     W.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert W.read_warc(spark, path).count() == 0
+
+
+def member(kind, fields, block, length=None):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", *fields, f"content-length: {len(block) if length is None else length}"]
+    return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_others(spark, tmp_path):
+    """Kinds that are no pages, records without digests or with other ones, folded lines, ids that are no numbers, a cut last member."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\npage"
+    cut = member("response", ["WARC-Record-ID: <urn:uuid:9>"], http)
+    file = tmp_path / "x.warc.gz"
+    file.write_bytes(
+        member("warcinfo", ["WARC-Record-ID: <urn:uuid:0>", "WARC-Filename: x"], b"software: y\r\n")
+        + member("request", ["WARC-Record-ID: <urn:uuid:1>"], b"GET / HTTP/1.1\r\n\r\n")
+        + member("response", ["WARC-Record-ID: <urn:uuid:2>", "WARC-Target-URI: http://a/", " b", "Content-Type: application/http; msgtype=response"], http)
+        + member("metadata", ["WARC-Record-ID: <urn:uuid:3>"], b"x: y")
+        + member("response", ["WARC-Record-ID: <urn:uuid:4>", "WARC-Payload-Digest: sha1:" + W.base32(hashlib.sha1(b"page").hexdigest())], http)
+        + member("response", ["WARC-Payload-Digest: sha256:00ff"], http)
+        + member("resource", ["WARC-Record-ID: <urn:uuid:5>", "Content-Type: text/plain"], b"a\r\n\r\nb")
+        + member("revisit", ["WARC-Record-ID: <urn:uuid:6>", "WARC-Refers-To: <urn:uuid:2>"], b"HTTP/1.1 304 Not Modified\r\n\r\n")
+        + W._record(7, "u", b"ours", W.base32(hashlib.sha1(b"ours").hexdigest()), None, False)
+        + cut[: len(cut) // 2]
+    )
+    ours = W.base32(hashlib.sha1(b"ours").hexdigest())
+    want = [
+        ("urn:uuid:2", "http://a/ b", "response", 4, None, None, b"page"),
+        ("urn:uuid:4", None, "response", 4, W.base32(hashlib.sha1(b"page").hexdigest()), None, b"page"),
+        (None, None, "response", 4, "sha256:00ff", None, b"page"),
+        ("urn:uuid:5", None, "resource", 6, None, None, b"a\r\n\r\nb"),
+        ("urn:uuid:6", None, "revisit", None, None, "urn:uuid:2", None),
+        ("7", "u", "response", 4, ours, None, b"ours"),
+    ]
+    for step in (1 << 20, 150):
+        got = [tuple(None if v is None else bytes(v) if isinstance(v, bytearray) else v for v in r) for r in W.read_warc(spark, f"file://{file}", step, id_type="string").collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert [r.page_id for r in W.read_warc(spark, f"file://{file}").where("page_id is not null").collect()] == [7]
+    broken = tmp_path / "y.warc.gz"
+    broken.write_bytes(member("response", ["WARC-Payload-Digest: sha1:" + "A" * 32], http))
+    with pytest.raises(ValueError, match="digest"):
+        list(W.read_range(f"file://{broken}", 0, broken.stat().st_size))
