@@ -19,11 +19,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset (tests), one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset and all is one process (tests), one of our own."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not folder:
         current = context._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='refloom-')}"
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(folder)

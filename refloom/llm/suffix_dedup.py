@@ -192,17 +192,21 @@ def _segments(length: int, id_type: pa.DataType):
 
 
 def _repeated_minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by route: drops those whose minimizer is alone."""
-    for table in sorted_groups(batches, "route"):
-        mh, route = table.column("mh").to_numpy(), table.column("route").to_numpy()
-        keep = np.asarray(table.column("known").to_numpy(zero_copy_only=False), bool)
+    """Rows sorted by route: drops those whose minimizer is alone. A batch at a time, as many rows may have one minimizer."""
+    last, pending = None, None  # the minimizer seen last, and its row if nothing is known to keep it yet
+    for batch in batches:
+        mh, route = batch.column("mh").to_numpy(), batch.column("route").to_numpy()
+        keep = np.array(batch.column("known").to_numpy(zero_copy_only=False), bool)
+        rows = batch.select([c for c in batch.schema.names if c not in ("route", "known")])
         stands = np.flatnonzero(mh == route)  # rows that are here for their minimizer
-        m = mh[stands]
-        same = np.r_[False, m[1:] == m[:-1]]
-        keep = keep.copy()
-        keep[stands] |= same | np.r_[same[1:], False]
-        out = table.filter(pa.array(keep)).drop_columns(["route", "known"])
-        yield from out.to_batches()
+        if len(stands):
+            m = mh[stands]
+            same = np.r_[last is not None and bool(m[0] == last), m[1:] == m[:-1]]
+            if pending is not None and same[0]:
+                yield pending
+            keep[stands] |= same | np.r_[same[1:], False]
+            last, pending = m[-1], None if keep[stands[-1]] else rows.slice(stands[-1], 1)
+        yield rows.filter(pa.array(keep))
 
 
 def _cut_segments(length: int, id_type: pa.DataType):

@@ -96,3 +96,15 @@ def test_a_text_that_repeats_itself_with_periods_about_the_grams_of_a_window(spa
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, hashlib.sha256(bytes(x.kept)).hexdigest()) for x in S.remove_repeats(df, keep=keep).collect()), key=str)
     assert got == brute(rows, 200, keep)
+
+
+def test_minimizers_that_repeat_across_batches():
+    """However the rows are cut into batches, those whose minimizer another row stands for stay, and known ones."""
+    r = random.Random(4)
+    mh = sorted(r.choice(range(40)) for _ in range(60))
+    rows = sorted([(m, m, False) for m in mh] + [(r.randrange(40), r.randrange(40, 50), True) for _ in range(20)], key=lambda x: x[1])
+    want = sorted(m for m, route, known in rows if known or mh.count(m) > 1)
+    for size in (1, 2, 3, 7, 100):
+        parts = [rows[k : k + size] for k in range(0, len(rows), size)]
+        batches = [S.pa.RecordBatch.from_arrays([S.pa.array(c, t) for c, t in zip(zip(*p), (S.pa.int64(), S.pa.int64(), S.pa.bool_()))], names=["mh", "route", "known"]) for p in parts]
+        assert sorted(m for b in S._repeated_minimizers(iter(batches)) for m in b.column("mh").to_pylist()) == want
