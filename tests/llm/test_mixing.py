@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from decimal import Decimal
 
 import pytest
 
@@ -23,6 +25,26 @@ def slow_targets(sizes, weights, share, limit):
     return target
 
 
+def slow_copies(members, target, limit):
+    """{place in members: copies} of one source's (id, size): the tilt by halving an interval, then copies by size and id."""
+    total = sum(z for _, z in members)
+    if not total or not target:
+        return dict.fromkeys(range(len(members)), 0)
+    rate = lambda t, z: limit if t * z > 700 else min(limit, math.exp(t * z))
+    low, high = -60.0, math.log(limit) + 1e-9
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if math.fsum(z * rate(mid, z) for _, z in members) < target else (low, mid)
+    if target >= limit * total * (1 - 1e-12):
+        high = 60.0
+    out, at = {}, Decimal("0.5")
+    for k in sorted(range(len(members)), key=lambda k: (-members[k][1], members[k][0] is not None, members[k][0] or 0)):
+        r = round(Decimal(rate(high, members[k][1])), 12)
+        out[k] = math.floor(at + r) - math.floor(at)
+        at += r
+    return out
+
+
 def rows():
     r = random.Random(2)
     sources = ["b", "a", "Ω", "\U0001f600", "￿", "", None, "tiny"]
@@ -41,6 +63,12 @@ def test_targets_and_copies(spark):
         sizes[s] = sizes.get(s, 0) + count(t)
     want = slow_targets(sizes, M.WEIGHTS, M.SHARE, M.LIMIT)
     assert sorted((str(r.doc_id), r["size"]) for r in got) == sorted((str(i), count(t)) for i, _, t in rows())
+    for s in sizes:
+        members = [(i, count(t)) for i, of, t in rows() if of == s]
+        copies = slow_copies(members, want[s], M.LIMIT)
+        mine = [(r.doc_id, r["size"], r.copies) for r in got if (r.source_size, round(r.target, 6)) == (sizes[s], round(want[s], 6)) and any((r.doc_id, r["size"]) == m for m in members)]
+        if sum(v == sizes[s] for v in sizes.values()) == 1:
+            assert sorted(mine, key=str) == sorted(((*members[k], c) for k, c in copies.items()), key=str)
     by_size = {}
     for r in got:
         assert 0 <= r.taken <= 2 * r["size"] and r.taken == r.copies * r["size"]
@@ -66,3 +94,29 @@ def test_mixed_rows(spark):
         assert (r["size"], r.text) == (r.doc_id, "w " * (r.doc_id + 1))
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == {k: v for k, v in copies.items() if v}
+
+
+@pytest.mark.parametrize(("share", "limit"), [(0.01, 2.0), (0.7, 2.0), (30.0, 60.0), (90.0, 100.0), (700.0, 1000.0), (5000.0, 1000.0)])
+def test_rates_are_tilted_by_size_and_meet_the_target(spark, share, limit):
+    r = random.Random(5)
+    docs = [(i, "abcd"[i % 4], " ".join("w" for _ in range(int(r.lognormvariate(3, 1.2))))) for i in range(800)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    got = M.mix_sources(df, share=share, limit=limit).collect()
+    by = {}
+    for x in got:
+        by.setdefault(x.source_size, []).append(x)
+    for size, members in by.items():
+        members.sort(key=lambda x: (-x["size"], x.doc_id))
+        copies = slow_copies([(x.doc_id, x["size"]) for x in members], members[0].target, limit)
+        assert [x.copies for x in members] == [copies[k] for k in range(len(members))]
+        assert members[0].target <= limit * size * (1 + 1e-12) and all(0 <= x.copies <= limit for x in members)
+        assert abs(sum(x.taken for x in members) - members[0].target) <= max(x["size"] for x in members) / 2 + 1e-6
+
+
+def test_steps_end_by_the_residual(spark):
+    sizes = spark.createDataFrame([("a", 5, 100), ("b", 1, 50), ("b", 7, 9), ("b", 9000, 2), (None, 3, 4), ("zero", 0, 5)], "source string, size long, n_size long")
+    targets = spark.createDataFrame([("a", 500, 125.0), ("b", 18113, 20000.0), (None, 12, 24.0), ("zero", 0, 0.0)], "source string, source_size long, target double")
+    got = {r.source: r.tilt for r in M.balanced_tilts(targets, sizes).collect()}
+    assert abs(got["a"] - math.log(0.25) / 5) < 1e-12 and got["zero"] is None and got[None] * 3 >= math.log(2)
+    took = sum(n * z * min(2, math.exp(got["b"] * z)) for z, n in ((1, 50), (7, 9), (9000, 2)))
+    assert abs(took - 20000) < 1e-7

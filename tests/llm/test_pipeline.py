@@ -13,7 +13,7 @@ import corpus_pipeline as P
 from refloom.llm import langid
 from refloom.llm.bpe import tokenizer_path
 from refloom.llm.mixing import LIMIT, SHARE, WEIGHTS
-from test_mixing import slow_targets
+from test_mixing import slow_copies, slow_targets
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra int"
 
@@ -54,9 +54,9 @@ def mixed(rows):
         sizes[s] = sizes.get(s, 0) + size[i]
     targets, out = slow_targets(sizes, WEIGHTS, SHARE, LIMIT), []
     for s in sizes:
-        rate = round(targets[s] / sizes[s], 12) if sizes[s] else 0.0
-        for n, row in enumerate(sorted((r for r in rows if r[3] == s), key=lambda r: (-size[r[0]], r[0])), 1):
-            out += [row] * int(np.floor(n * rate + 0.5) - np.floor((n - 1) * rate + 0.5))
+        members = [r for r in rows if r[3] == s]
+        for k, copies in slow_copies([(r[0], size[r[0]]) for r in members], targets[s], LIMIT).items():
+            out += [members[k]] * copies
     return out
 
 
