@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
+from .common import read_table
 
 ANCHORS = {
     "en": "a an and are as be by for in is it of on or that the this to was with",
@@ -36,7 +36,8 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     spans = F.regexp_extract_all(marked, F.lit("\u0001(?= (" + "[\u0001 ]+".join(["[^\u0001 ]+"] * chain) + "))"), F.lit(1))
     found = F.array_sort(F.array_distinct(F.transform(spans, lambda s: F.hash(F.regexp_replace(s, "[\u0001 ]+", " ")))))
     whole = F.trim(words)
-    return F.when(F.size(found) > 0, found).when(whole != "", F.array(F.hash(whole))).otherwise(F.array().cast("array<int>"))
+    # bound to a variable, as a column used twice here would be evaluated twice
+    return F.transform(F.array(found), lambda f: F.when(F.size(f) > 0, f).when(whole != "", F.array(F.hash(whole))).otherwise(F.array().cast("array<int>")))[0]
 
 
 def fingerprint(signature_set: Column) -> Column:
@@ -74,43 +75,56 @@ def similar_pairs(queries: DataFrame, df: DataFrame, id_col: str = "doc_id", tex
     return met.withColumn("likeness", likeness(F.col("q_set"), F.col("set"), threshold)).where("likeness > 0").select("query_id", "id", "likeness")
 
 
-def next_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, next_id, next_th) for each different (id, xxhash64 of the text): the next by id and th, after the last the first.
+def _ranges(docs: DataFrame) -> Column:
+    """The number of the range of ids that a row's id is in; nulls are in the first. Of docs, one id for each range comes to the driver."""
+    spark = docs.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heads = docs.select("id").repartitionByRange(min(8 * shuffled, max(shuffled, 4096)), "id").groupBy(F.spark_partition_id()).agg(F.min("id").alias("id"))
+    bounds = sorted({r.id for r in heads.collect()} - {None})
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in range(len(bounds).bit_length())][::-1]
+    ordered, step = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, steps))
+    at = lambda pos, more: F.try_element_at(ordered, pos + more)
+    return F.aggregate(step, F.lit(0), lambda pos, more: F.when(at(pos, more) <= F.col("id"), pos + more).otherwise(pos))
 
-    Ids are range-partitioned; each range finds the next within itself, and its last row takes the first of the next
-    range from a table with one row a range. Only ids and hashes move.
+
+def with_next_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n, text, set, next_text, next_set) for each different (id, text), n being how often it came: the text and signatures of it and of the next by id and hash of the text, after the last the first.
+
+    Texts are shuffled once, by ranges of ids; within a range the next is the next row, and the last takes the first of the next
+    range from a table with one row a range.
     """
-    spark = df.sparkSession
-    keys = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th")).distinct()
-    ranged = stored(keys.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "id", "th").withColumn("part", F.spark_partition_id()), "ids")
-    key = F.struct("id", "th")
-    heads = ranged.groupBy("part").agg(F.min(key).alias("head"))
+    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = docs.withColumn("part", _ranges(docs))
+    signed = docs.withColumn("set", signatures(F.col("text")))
+    different = signed.repartition("part").groupBy("part", "id", "th").agg(F.count("*").alias("n"), F.first("text").alias("text"), F.first("set").alias("set"))
+    order = Window.partitionBy("part").orderBy("id", "th")
+    inside = different.withColumn("next", F.lead(F.struct("text", "set")).over(order))
     by_part = Window.orderBy("part")
-    heads = heads.withColumn("after", F.coalesce(F.lead("head").over(by_part), F.min("head").over(Window.partitionBy())))
-    inside = ranged.withColumn("next", F.lead(key).over(Window.partitionBy("part").orderBy("id", "th")))
-    return inside.join(heads.select(F.col("part"), "after"), "part").select("id", "th", F.coalesce("next", "after").alias("n")).select("id", "th", F.col("n.id").alias("next_id"), F.col("n.th").alias("next_th"))
+    heads = docs.groupBy("part").agg(F.min(F.struct("id", "th")).alias("head")).withColumn("of", F.coalesce(F.lag("part").over(by_part), F.max("part").over(Window.partitionBy())))
+    heads = heads.select("of", F.col("head.id").alias("head_id"), F.col("head.th").alias("head_th"))
+    firsts = docs.join(heads, F.col("id").eqNullSafe(F.col("head_id")) & (F.col("th") == F.col("head_th"))).groupBy("of").agg(F.first("text").alias("t")).select("of", F.struct(F.col("t").alias("text"), signatures(F.col("t")).alias("set")).alias("first"))
+    joined = inside.join(firsts, F.col("part") == F.col("of"), "left").withColumn("next", F.coalesce("next", "first"))
+    return joined.select("id", "n", "text", "set", F.col("next.text").alias("next_text"), F.col("next.set").alias("next_set"))
 
 
 def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: its fingerprint, that of its edited text (its second half replaced by the head of the next document),
     and the likeness of its fingerprint to those of the edited text and of the next document.
 
-    Null texts count as empty. Rows with one id and one text are one document. A table of one document is its own next.
+    Null texts count as empty. Rows with one id and one text are one document, and come back as often as they came. A table of one document is its own next.
     """
-    docs = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    halves = docs.select(F.col("id").alias("i"), F.col("th").alias("t"), F.floor(F.char_length("text") / 2).cast("int").alias("half")).distinct()
-    after = next_documents(df, id_col, text_col)
-    links = after.join(halves, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t"))).select(F.col("id").alias("of_id"), F.col("th").alias("of_th"), "next_id", "next_th", "half")
-    heads = docs.join(links, F.col("id").eqNullSafe(F.col("next_id")) & (F.col("th") == F.col("next_th")))
-    heads = heads.select("of_id", "of_th", F.expr("substring(text, 1, half)").alias("head"), signatures(F.col("text")).alias("next_set")).dropDuplicates(["of_id", "of_th"])
-    both = docs.join(heads, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("th") == F.col("of_th")))
-    n = F.char_length("text")
-    made = both.select("id", n.alias("n_chars"), F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), "head").alias("edited"), signatures(F.col("text")).alias("own_set"), "next_set")
-    made = made.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own_set", signatures(F.col("edited")).alias("edited_set"), "next_set")
-    return made.select(
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    made = with_next_documents(df, id_col, text_col).withColumn("half", half).withColumn("n_chars", F.char_length("text"))
+    made = made.withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - half)"), F.expr("substring(next_text, 1, half)")))
+    made = made.select("id", "n", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("set").alias("own_set"), signatures(F.col("edited")).alias("edited_set"), "next_set")
+    made = made.select(
         F.col("id").alias(id_col), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", fingerprint(F.col("own_set")).alias("fingerprint"), fingerprint(F.col("edited_set")).alias("edited_fingerprint"),
         likeness(F.col("own_set"), F.col("edited_set")).alias("near_edited"), likeness(F.col("own_set"), F.col("next_set")).alias("near_next"), length_class(F.col("own_set")).alias("length_class"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("again"),
     )
+    return made.drop("again")
 
 
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
