@@ -97,8 +97,7 @@ def with_next_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     docs = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs = docs.withColumn("part", _ranges(docs))
-    signed = docs.withColumn("set", signatures(F.col("text")))
-    different = signed.repartition("part").groupBy("part", "id", "th").agg(F.count("*").alias("n"), F.first("text").alias("text"), F.first("set").alias("set"))
+    different = docs.repartition("part").groupBy("part", "id", "th").agg(F.count("*").alias("n"), F.first("text").alias("text")).withColumn("set", signatures(F.col("text")))
     order = Window.partitionBy("part").orderBy("id", "th")
     inside = different.withColumn("next", F.lead(F.struct("text", "set")).over(order))
     by_part = Window.orderBy("part")
