@@ -57,40 +57,59 @@ def _parser() -> argparse.ArgumentParser:
     return top
 
 
-def ingest(spark: SparkSession, store: Store, files: DataFrame, parsers: DataFrame, resolver=resolve.mock_resolver) -> int:
-    """Route, parse, stage and resolve files (path, content, modificationTime); returns the number of references."""
-    routed = routing.route(files.withColumnRenamed("path", "source_filename"), parsers).where("parser_name is not null")
-    parsed = parse_files(routed.select(F.col("source_filename").alias("path"), "content", "parser_name"))
-    loaded = as_loaded(parsed).drop("parser_name").join(routed.select("source_filename", "parser_name", F.col("modificationTime").alias("source_modified")), "source_filename")
-    loaded = loaded.withColumns({"resolved_filename": F.concat("source_filename", F.lit(".result")), "date": F.current_timestamp()})
+def ingest(spark: SparkSession, store: Store, files: DataFrame, parsers: DataFrame, resolver=resolve.mock_resolver, log: str | None = None) -> int:
+    """Route, parse, stage and resolve files (path, content, modificationTime); returns the number of references.
+
+    Each file is read and parsed once, each reference resolved once: what they give is written before it is used. log: a
+    folder to which the events of all stages are added.
+    """
+    began, ms = time.perf_counter(), {}
+
+    def took(stage: str) -> None:
+        nonlocal began
+        ms[stage], began = (time.perf_counter() - began) * 1000, time.perf_counter()
+
+    paths = files.select(F.col("path").alias("source_filename"), F.col("modificationTime").alias("source_modified"))
+    routed = store.written(routing.route(paths, parsers).where("parser_name is not null").select("source_filename", "source_modified", "parser_name"), "routed")
+    took("lookup")
+    names = routed.select(F.col("source_filename").alias("path"), "parser_name")
+    parsed = store.written(parse_files(files.select("path", "content").join(names, "path")), "references").join(names.withColumnRenamed("path", "source_filename"), "source_filename")
+    took("parse")
+    loaded = as_loaded(parsed).drop("parser_name").join(routed, "source_filename")
+    loaded = store.written(loaded.withColumns({"resolved_filename": F.concat("source_filename", F.lit(".result")), "date": F.current_timestamp()}), "blocks")
     staged = store.load(loaded, "initial")
-    refs = staged.select("id", F.col("reference_str").alias("refstr"), F.lit(None).cast("string").alias("refplaintext"), F.col("reference_raw").alias("refraw"))
-    store.resolve(resolve.answers(resolver(refs)))
-    return refs.count()
+    took("load")
+    answers = store.written(resolve.answers(resolver(staged.select("id", F.col("reference_str").alias("refstr"), F.lit(None).cast("string").alias("refplaintext"), F.col("reference_raw").alias("refraw")))), "answers")
+    took("resolve")
+    store.resolve(answers)
+    took("update")
+    if log:
+        blocks = loaded.select("source_filename", "source_bibcode", "parser_name", F.size("references").alias("n"))
+        timing.write_events(timing.ingest_events(parsed, blocks, staged, ms, time.time()), log)
+    return staged.count()
 
 
 def reprocess(spark: SparkSession, store: Store, kind: str, resolver=resolve.mock_resolver, **options) -> int:
     """Parse and resolve again what a filter chooses, as new runs; returns the number of references."""
     t = {n: store.read(n) for n in ("resolved_reference", "processed_history", "reference_source")}
-    batches = history.reprocess_batches(history.reprocess_rows(t["resolved_reference"], t["processed_history"], t["reference_source"], kind, **options))
+    batches = store.written(history.reprocess_batches(history.reprocess_rows(t["resolved_reference"], t["processed_history"], t["reference_source"], kind, **options)), "batches")
     loaded = as_loaded(parse_blocks(batches)).drop("parser_name").join(batches.select("source_filename", "parser_name", "source_modified").dropDuplicates(["source_filename"]), "source_filename")
     staged = store.load(loaded.withColumns({"resolved_filename": F.lit(None).cast("string"), "date": F.current_timestamp()}), "retry")
     refs = staged.select("id", F.col("reference_str").alias("refstr"), F.col("reference_raw").alias("refraw"))
-    store.resolve(resolve.answers(resolver(refs)))
-    return refs.count()
+    store.resolve(store.written(resolve.answers(resolver(refs)), "answers"))
+    return staged.count()
 
 
 def _benchmark(spark: SparkSession, args: argparse.Namespace) -> int:
-    log = timing.EventLog(f"{args.out}.jsonl")
+    log = f"{args.out}-events"
     found = [r.path for r in S.candidates(spark, args.path, args.patterns, args.max_files).collect()]
     parsers = S.parser_table(spark, args.parsers)
     began = time.time()
-    with timing.sampling(args.interval) as samples, log.timed("file_wall", record_count=max(1, len(found))):
-        n = ingest(spark, Store(spark, f"{args.out}-store"), S.binary_files(spark, found), parsers) if found else 0
-        log.emit("ingest_enqueue", record_count=n)
+    with timing.sampling(args.interval) as samples:
+        n = ingest(spark, Store(spark, f"{args.out}-store"), S.binary_files(spark, found), parsers, log=log) if found else 0
     load = spark.createDataFrame([{k: float(v) if isinstance(v, float) else v for k, v in s.items()} for s in samples]) if samples else None
     have = [m for m in telemetry.SYSTEM_METRICS if load is not None and m in load.columns]
-    summary = telemetry.summarize(S.events(spark, log.path), began, time.time(), len(found))
+    summary = telemetry.summarize(S.events(spark, log), began, time.time(), len(found))
     if have:
         summary["system_load"]["summary"] = {r["metric"]: {k: r[k] for k in telemetry.STATS if k != "p99"} for r in telemetry.unpivot_stats(load, tuple(have)).collect()}
     summary["status"] = "complete" if n else "incomplete"

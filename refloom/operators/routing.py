@@ -38,18 +38,21 @@ def route(files: DataFrame, parsers: DataFrame, column: str = "source_filename")
     file whatever its rules say; among several the first rule that holds decides, by parser name and rule order: all
     volumes, an equal string, a number in a range or an equal number.
     """
-    keyed = path_parts(files, column).withColumn("_file", F.monotonically_increasing_id())
+    keyed = path_parts(files, column)
+    kind = ["journal", "volume", "extension"]  # files of one kind have one parser
     unique = unique_extension_parsers(parsers).select(F.col("extension_pattern").alias("extension"), F.col("name").alias("u_name"), F.col("reference_service_endpoint").alias("u_end"))
     rules = rule_table(parsers).withColumnRenamed("journal", "rule_journal")
     one = F.concat(F.lit("."), F.element_at(F.split("extension", r"\."), -1))
-    tried = keyed.select("_file", "journal", "volume", F.explode(F.array_distinct(F.array(F.struct(F.lit(0).alias("turn"), F.col("extension").alias("ext")), F.struct(F.lit(1).alias("turn"), one.alias("ext"))))).alias("try")).select("_file", "journal", "volume", "try.*")
+    turns = F.array_distinct(F.array(F.struct(F.lit(0).alias("turn"), F.col("extension").alias("ext")), F.struct(F.lit(1).alias("turn"), one.alias("ext"))))
+    tried = keyed.select(*kind).distinct().select(*kind, F.explode(turns).alias("try")).select(*kind, "try.*")
     found = tried.join(rules, (tried["ext"] == rules["extension_pattern"]) & (tried["journal"] == rules["rule_journal"]))
-    by_file = Window.partitionBy("_file")
-    found = found.withColumn("_turn", F.min("turn").over(by_file)).where("turn = _turn")
-    found = found.withColumn("_names", F.size(F.collect_set("name").over(by_file)))
+    by_kind = Window.partitionBy(*kind)
+    found = found.withColumn("_turn", F.min("turn").over(by_kind)).where("turn = _turn")
+    found = found.withColumn("_names", F.size(F.collect_set("name").over(by_kind)))
     number = F.when(F.col("volume").rlike(r"^\d+$"), F.col("volume").cast("int"))
     fits = F.coalesce(F.col("all_volume"), F.lit(False)) | (F.coalesce(F.col("partial_bibcode"), F.lit("")) == F.col("volume")) | F.coalesce(F.col("volume_string") == F.col("volume"), F.lit(False))
     fits = fits | F.coalesce(number.between(F.coalesce("volume_begin", F.lit(9999)), F.coalesce("volume_end", F.lit(0))), F.lit(False)) | F.coalesce(number == F.col("volume_number"), F.lit(False))
-    chosen = found.where((F.col("_names") == 1) | fits).withColumn("_first", F.row_number().over(by_file.orderBy("name", "rule_no"))).where("_first = 1").select("_file", F.col("name").alias("m_name"), F.col("reference_service_endpoint").alias("m_end"))
-    out = keyed.join(unique, "extension", "left").join(chosen, "_file", "left")
-    return out.select(*files.columns, "journal", "volume", "extension", F.coalesce("u_name", "m_name").alias("parser_name"), F.coalesce("u_end", "m_end").alias("endpoint"))
+    first = F.min_by(F.struct("name", "reference_service_endpoint"), F.struct("name", "rule_no"))
+    chosen = found.where((F.col("_names") == 1) | fits).groupBy(*kind).agg(first.alias("m"))
+    out = keyed.join(unique, "extension", "left").join(chosen, kind, "left")
+    return out.select(*files.columns, *kind, F.coalesce("u_name", "m.name").alias("parser_name"), F.coalesce("u_end", "m.reference_service_endpoint").alias("endpoint"))

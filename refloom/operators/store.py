@@ -1,13 +1,17 @@
-"""The citation store: Parquet tables under one folder, written by appending or by staged rewriting.
+"""The citation store: Parquet tables under one folder, changed by transactions.
 
-Tables have one writer. A rewrite goes to a new folder and is named by a pointer file last, so readers see the old or the
-new table, never half of one; what a failed run leaves is not pointed at.
+Every append and every rewrite goes to a new folder. A commit lists, for each table, the folders that make it up; readers go by
+the last commit, so they see all of a transaction or nothing of it, and what a failed one has written is never looked at.
+Tables have one writer.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,32 +22,61 @@ from ..schemas import QUEUED_BIBCODE, QUEUED_SCORE, TABLES
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _versions(self, table: str) -> list[str]:
-        fs, p = self._fs(f"{self.root}/{table}")
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("v")) if fs.exists(p) else []
-
-    def _current(self, table: str) -> str | None:
-        done = [v for v in self._versions(table) if self._fs(f"{self.root}/{table}/{v}/_SUCCESS")[0].exists(self._fs(f"{self.root}/{table}/{v}/_SUCCESS")[1])]
-        return f"{self.root}/{table}/{done[-1]}" if done else None
+        self._open: dict[str, list[str]] | None = None
+
+    def _last(self) -> tuple[int, dict[str, list[str]]]:
+        """The number of the last commit, and the folders of each table."""
+        with contextlib.suppress(AnalysisException):
+            found = self.spark.read.schema("name string, folders array<string>, n int").json(f"{self.root}/commits")
+            rows = found.where(F.col("n") == found.agg(F.max("n")).first()[0]).collect()  # one a table
+            if rows:
+                return rows[0].n, {r.name: list(r.folders) for r in rows}
+        return -1, {}
+
+    @contextlib.contextmanager
+    def transaction(self) -> Iterator[Store]:
+        """What is written inside becomes visible to others at the end, all at once; after an error, nothing does. Inner ones are part of the outer."""
+        if self._open is not None:
+            yield self
+            return
+        n, self._open = self._last()
+        try:
+            yield self
+            made = self.spark.createDataFrame(sorted(self._open.items()), "name string, folders array<string>")
+            made.coalesce(1).write.json(f"{self.root}/commits/n={n + 1}")
+        finally:
+            self._open = None
+
+    def _folders(self, table: str) -> list[str]:
+        return (self._last()[1] if self._open is None else self._open).get(table, [])
 
     def read(self, table: str) -> DataFrame:
-        """The table; columns that older files lack are null."""
-        path = self._current(table)
-        return self.spark.read.schema(TABLES[table]).parquet(path) if path else self.spark.createDataFrame([], TABLES[table])
-
-    def append(self, table: str, rows: DataFrame) -> None:
+        """The table; columns that older files lack are null. Inside a transaction, with what it has written."""
+        paths = [f"{self.root}/{f}" for f in self._folders(table)]
+        return self.spark.read.schema(TABLES[table]).parquet(*paths) if paths else self.spark.createDataFrame([], TABLES[table])
+
+    def _write(self, table: str, rows: DataFrame, kept: list[str]) -> str:
+        folder = f"{table}/{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.root}/{folder}")
+        with self.transaction():
+            self._open[table] = [*kept, folder]
+        return f"{self.root}/{folder}"
+
+    def append(self, table: str, rows: DataFrame) -> str:
+        """Adds rows; columns that they lack are null. Returns where they are."""
         schema = TABLES[table]
         shaped = self.spark.createDataFrame([], schema).unionByName(rows, allowMissingColumns=True).select([F.col(f.name).cast(f.dataType) for f in schema])
-        shaped.write.mode("append").parquet(self._current(table) or f"{self.root}/{table}/v{0:012d}-{uuid.uuid4().hex[:8]}")
+        return self._write(table, shaped, self._folders(table))
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        n = len(self._versions(table))
-        rows.write.parquet(f"{self.root}/{table}/v{n:012d}-{uuid.uuid4().hex[:8]}")
+        """Makes rows the table; its many folders become one."""
+        self._write(table, rows, [])
+
+    def written(self, df: DataFrame, what: str = "rows") -> DataFrame:
+        """df, written once beside the tables and read from there as often as it is used."""
+        path = f"{self.root}/staging/{what}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def add_sources(self, sources: DataFrame) -> None:
         """Those that are not there yet."""
@@ -57,9 +90,7 @@ class Store:
         """
         top = self.read("processed_history").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
         numbered = number_rows(runs, order).withColumn("id", F.col("row_no") + F.lit(top)).drop("row_no")
-        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
-        numbered.write.parquet(path)
-        kept = self.spark.read.schema(numbered.schema).parquet(path)
+        kept = self.written(numbered, "runs")
         self.append("processed_history", kept)
         return kept
 
@@ -68,24 +99,29 @@ class Store:
         self.replace(table, merge_rows(self.read(table), updates, keys))
 
     def load(self, parsed: DataFrame, status: str) -> DataFrame:
-        """Stage parsed references as a new run of each source; returns them with id `H..I..` for the resolver.
+        """Stage parsed references as a new run of each source, sources, runs and items in one transaction; returns the items
+        with id `H..I..` for the resolver, source_filename and source_bibcode.
 
         parsed: source_bibcode, source_filename, resolved_filename, parser_name, source_modified, date, references array of
-        struct(item_num, refstr, refraw). status "initial" adds sources and keeps item numbers, "retry" numbers items anew.
+        struct(item_num, refstr, refraw); it is evaluated once. status "initial" adds sources and keeps item numbers, "retry" numbers items anew.
         """
-        if status == "initial":
-            self.add_sources(parsed.select(F.col("source_bibcode").alias("bibcode"), "source_filename", "resolved_filename", "parser_name"))
-        runs = self.add_runs(parsed.select(F.col("source_bibcode").alias("bibcode"), "source_filename", "source_modified", "date", F.lit(status).alias("status"), F.size("references").alias("total_ref")))
-        keyed = parsed.join(runs.select(F.col("bibcode").alias("source_bibcode"), "source_filename", F.col("id").alias("history_id")), ["source_bibcode", "source_filename"])
-        items = stage(keyed, keep_numbers=status == "initial")
-        self.append("resolved_reference", items.drop("id"))
-        return items
+        parsed = self.written(parsed, "parsed")
+        with self.transaction():
+            if status == "initial":
+                self.add_sources(parsed.select(F.col("source_bibcode").alias("bibcode"), "source_filename", "resolved_filename", "parser_name"))
+            runs = self.add_runs(parsed.select(F.col("source_bibcode").alias("bibcode"), "source_filename", "source_modified", "date", F.lit(status).alias("status"), F.size("references").alias("total_ref")))
+            runs = runs.select(F.col("bibcode").alias("source_bibcode"), "source_filename", F.col("id").alias("history_id"))
+            keyed = parsed.join(runs, ["source_bibcode", "source_filename"])
+            path = self.append("resolved_reference", stage(keyed, keep_numbers=status == "initial").drop("id"))
+        items = self.spark.read.schema(TABLES["resolved_reference"]).parquet(path)
+        return items.withColumn("id", staged_id(F.col("history_id"), F.col("item_num"))).join(runs, "history_id")
 
     def resolve(self, answers: DataFrame, classic: DataFrame | None = None) -> None:
         """Write the resolver's answers over the staged rows, and the comparison with classic results if there are any."""
-        self.merge("resolved_reference", answers, ["history_id", "item_num"])
-        if classic is not None:
-            self.append("compare_classic", classic)
+        with self.transaction():
+            self.merge("resolved_reference", answers, ["history_id", "item_num"])
+            if classic is not None:
+                self.append("compare_classic", classic)
 
     def orphans(self) -> dict[str, int]:
         """Rows that refer to nothing, by table; all 0 in a sound store."""

@@ -13,6 +13,12 @@ import time
 import uuid
 from collections.abc import Callable, Iterator
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.expressions import file_extension, raw_subfamily, source_type
+from ..schemas import EVENT
+
 
 class EventLog:
     """Appends events to a JSON-lines file, one writer at a time; what cannot be written is dropped without a word."""
@@ -93,3 +99,52 @@ def environment(**settings: str | None) -> Iterator[None]:
     finally:
         for k, v in before.items():
             os.environ.pop(k, None) if v is None else os.environ.__setitem__(k, v)
+
+
+# What an ingest tells about itself -----------------------------------------
+
+
+def _events(rows: DataFrame, stage: str, ts: float, duration_ms: Column | None = None, n: Column | None = None, record_id: Column | None = None, error: Column | None = None, run_id: str | None = None, context_id: str | None = None) -> DataFrame:
+    """An event for each row (source_filename, and parser_name and source_bibcode if there are such columns)."""
+    name = F.col("source_filename")
+    parser = F.col("parser_name") if "parser_name" in rows.columns else F.lit(None).cast("string")
+    told = {"source_filename": name, "parser_name": parser, "input_extension": file_extension(name), "source_type": source_type(name), "raw_subfamily": raw_subfamily(name, parser), "record_count": n, "error": error}
+    if "source_bibcode" in rows.columns:
+        told["source_bibcode"] = F.col("source_bibcode")
+    extra = F.struct(*((F.lit(None) if told.get(f.name) is None else told[f.name]).cast(f.dataType).alias(f.name) for f in EVENT["extra"].dataType))
+    values = {"ts": F.lit(ts), "stage": F.lit(stage), "run_id": F.lit(run_id), "context_id": F.lit(context_id), "record_id": record_id, "duration_ms": duration_ms, "status": F.lit("ok" if error is None else "error"), "extra": extra}
+    return rows.select(*((F.lit(None) if values[f.name] is None else values[f.name]).cast(f.dataType).alias(f.name) for f in EVENT))
+
+
+def ingest_events(parsed: DataFrame, blocks: DataFrame, items: DataFrame, ms: dict[str, float], ts: float, run_id: str | None = None, context_id: str | None = None) -> DataFrame:
+    """The events of one ingest, in the shape of the log.
+
+    parsed: source_filename, parser_name, error, parse_ms (of the whole file, on each of its rows); blocks: source_filename,
+    source_bibcode, parser_name, n (references); items: source_filename, source_bibcode, id. Parsing is timed file by file.
+    Lookup, load, resolve and update run for all at once: ms has what they took, of which each file or reference gets its even share.
+    """
+    made = {"ts": ts, "run_id": run_id, "context_id": context_id}
+    files = parsed.groupBy("source_filename", "parser_name").agg(F.max("parse_ms").alias("parse_ms"), F.count(F.when(F.col("error").isNull(), 1)).alias("n"))
+    sums = files.agg(F.count("*").alias("n_files")).crossJoin(blocks.agg(F.sum("n").alias("n_all")))  # one row by one row
+    with_sums = lambda df: df.join(F.broadcast(sums))  # noqa: E731  one row
+    share = lambda *stages: F.lit(float(sum(ms[s] for s in stages))) / F.greatest("n_all", F.lit(1))
+    files, blocks, items = with_sums(files), with_sums(blocks), with_sums(items)
+    n = F.col("n")
+    parts = [
+        _events(files, "parser_lookup", duration_ms=F.lit(float(ms["lookup"])) / F.col("n_files"), n=F.lit(1), **made),
+        _events(files, "parse_dispatch", duration_ms=F.col("parse_ms"), n=n, **made),
+        _events(files, "file_wall", duration_ms=F.lit(float(ms["lookup"])) / F.col("n_files") + F.col("parse_ms") + n * share("load", "resolve", "update"), n=n, **made),
+        _events(parsed.where("error is not null"), "record_error", error=F.col("error"), **made),
+        _events(blocks, "pre_resolved_db", duration_ms=n * share("load"), n=n, **made),
+        _events(blocks, "ingest_enqueue", n=n, **made),
+        _events(blocks, "queue_references", duration_ms=n * share("resolve", "update"), n=n, **made),
+        _events(items, "record_wall", duration_ms=share("resolve", "update"), n=F.lit(1), record_id=F.col("id"), **made),
+        _events(items, "resolver_http", duration_ms=share("resolve"), n=F.lit(1), record_id=F.col("id"), **made),
+        _events(items, "post_resolved_db", duration_ms=share("update"), n=F.lit(1), record_id=F.col("id"), **made),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def write_events(events: DataFrame, folder: str) -> None:
+    """Adds events to a log that is a folder of JSON lines."""
+    events.write.mode("append").json(folder)

@@ -14,6 +14,7 @@ from ..schemas import REFERENCE_FIELDS
 
 BIBCODE = re.compile(r"^[12]\d{3}[A-Za-z&.]{5}[\w.&]{9}[A-Z.:]$|^\d{4}.{15}$")
 IN_NAME = re.compile(r"^([12\d]\d{3}.{15})")
+WHITE_SQUARE = "#9633"  # the code whose line in an entity table marks what is unknown
 
 
 # Characters ----------------------------------------------------------------
@@ -26,10 +27,21 @@ def to_ascii(text: str) -> str:
     return unicodedata.normalize("NFKD", spelled).encode("ascii", "ignore").decode()
 
 
-def entities_to_ascii(text: str) -> str:
-    """Named, decimal and hexadecimal entities as ASCII; `__amp__` stands for an ampersand; unknown names stay."""
+def entities_to_ascii(text: str, table: dict[str, str] | None = None) -> str:
+    """Named, decimal and hexadecimal entities as ASCII; `__amp__` stands for an ampersand.
+
+    table: ASCII by name, as sources.files.entity_table() reads it; names that it lacks become what it has for a white
+    square. Without a table names go by rule, and unknown ones stay.
+    """
+
+    def plain(m: re.Match) -> str:
+        if table and m[1][0] != "#":
+            return table.get(m[1], table.get(WHITE_SQUARE, ""))
+        found = html.unescape(m[0])
+        return to_ascii(found) if found != m[0] else m[0]
+
     text = text.replace("__amp__", "&").replace("&amp;", "&")
-    return re.sub(r"&(#\d+|#[xX][0-9A-Fa-f]+|\w+);", lambda m: to_ascii(html.unescape(m[0])) if html.unescape(m[0]) != m[0] else m[0], text)
+    return re.sub(r"&(#\d+|#[xX][0-9A-Fa-f]+|\w+);", plain, text)
 
 
 def to_entities(text: str) -> str:
@@ -195,6 +207,11 @@ def latex_to_text(text: str, macros: dict[str, str] | None = None) -> str:
 # References and blocks -----------------------------------------------------
 
 
+def as_list(value) -> list | None:
+    """A string or bytes alone in a list, other iterables as a list, None as it is."""
+    return None if value is None else [value] if isinstance(value, (str, bytes)) else list(value)
+
+
 def rewrite(text: str, rules: Iterable[tuple[str, str]]) -> str:
     for pattern, to in rules:
         text = re.sub(pattern, to, text)

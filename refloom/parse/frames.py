@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,7 +29,7 @@ def _rows(path: str, bibcode: str, raws: list[str], name: str, numbers: list[int
 
 
 def parse_files(files: DataFrame, lookup: dict[str, str] | None = None) -> DataFrame:
-    """References of files (path, content binary, parser_name); lookup gives the bibcode of a DOI or file code.
+    """References of files (path, content binary, parser_name), with the time that the whole file took; lookup gives the bibcode of a DOI or file code.
 
     What cannot be parsed comes out with its error, as do blocks without a sound bibcode: select on `error` for the
     accepted and the rejected. Unknown parsers, empty files and files without references give one row with the reason.
@@ -38,7 +39,7 @@ def parse_files(files: DataFrame, lookup: dict[str, str] | None = None) -> DataF
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content, name in pdf[["path", "content", "parser_name"]].itertuples(index=False, name=None):
-                parser, out = parser_for(name or ""), []
+                began, parser, out = time.perf_counter(), parser_for(name or ""), []
                 reason = None if parser else f"no parser {name}"
                 if parser:
                     try:
@@ -50,9 +51,9 @@ def parse_files(files: DataFrame, lookup: dict[str, str] | None = None) -> DataF
                         reason = f"{type(error).__name__}: {error}"
                 if reason:
                     out.append((path, None, None, None, None, *[None] * len(REFERENCE_FIELDS), reason))
-                yield pd.DataFrame(out, columns=COLUMNS).astype(object)
+                yield pd.DataFrame(out, columns=COLUMNS).astype(object).assign(parse_ms=(time.perf_counter() - began) * 1000)
 
-    return files.select("path", "content", "parser_name").mapInPandas(run, SCHEMA)
+    return files.select("path", "content", "parser_name").mapInPandas(run, SCHEMA + ", parse_ms double")
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:

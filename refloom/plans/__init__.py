@@ -1 +1 @@
-from . import parsing, registry  # noqa: F401
+from . import library, parsing, registry  # noqa: F401

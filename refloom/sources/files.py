@@ -116,6 +116,27 @@ def macro_table(lines: DataFrame) -> DataFrame:
     return split.select("pos", F.col("p")[0].alias("macro"), F.col("p")[1].alias("meaning")).withColumn("n", F.row_number().over(last)).where("n = 1").select("macro", "meaning")
 
 
+def entity_table(lines: DataFrame) -> DataFrame:
+    """(entity, ascii) of lines (pos, line) of an entity file: fields between white space, with or without quotes: code, name, ASCII, TeX, kind.
+
+    Lines of fewer than four fields, or whose code is no number, are left out. The last line of a name counts; `#code` stands
+    for the first line of that code that tells its kind.
+    """
+    fields = F.transform(F.split(F.trim("line"), r"\s+"), lambda f: F.regexp_replace(f, r'^"(.*)"$|^"$', "$1"))
+    told = lines.select("pos", fields.alias("f")).where(F.size("f") > 3)
+    told = told.select("pos", F.regexp_extract(F.col("f")[0], r"^(\d+)(?:[:;].*)?$", 1).alias("code"), F.col("f")[1].alias("entity"), F.col("f")[2].alias("ascii"), (F.size("f") > 4).alias("kind")).where("code <> ''")
+    names = told.groupBy("entity").agg(F.max_by("ascii", "pos").alias("ascii"))
+    codes = told.where("kind").groupBy(F.concat(F.lit("#"), "code").alias("entity")).agg(F.min_by("ascii", "pos").alias("ascii"))
+    return names.unionByName(codes)
+
+
+def code_table(lines: DataFrame) -> DataFrame:
+    """(code, bibcode) of lines (pos, line) `bibcode, tab, DOI`: the code is the last part of the DOI, the last line of a code counts; other lines are left out."""
+    fields = lines.select("pos", F.split("line", "\t").alias("f")).where(F.size("f") == 2)
+    told = fields.select("pos", F.element_at(F.split(F.trim(F.col("f")[1]), "/"), -1).alias("code"), F.trim(F.col("f")[0]).alias("bibcode"))
+    return told.groupBy("code").agg(F.max_by("bibcode", "pos").alias("bibcode"))
+
+
 def parser_table(spark: SparkSession, path: str) -> DataFrame:
     """The parser table from JSON lines."""
     return spark.read.schema(f"name string, extension_pattern string, reference_service_endpoint string, matches array<{RULE}>").json(path)

@@ -155,6 +155,58 @@ def test_store_lifecycle(spark, tmp_path):
     assert st.read("resolved_reference").count() == 4 and set(st.orphans().values()) == {0}
 
 
+def test_a_failed_load_leaves_nothing(spark, tmp_path, monkeypatch):
+    st = store.Store(spark, f"file://{tmp_path}/store")
+    when = dt.datetime(2024, 1, 1)
+    ref = "array<struct<item_num:int,refstr:string,refraw:string>>"
+    parsed = lambda f: spark.createDataFrame([(BIB, f, "r", "arXiv", when, when, [(1, "a", "ra")])], f"source_bibcode string, source_filename string, resolved_filename string, parser_name string, source_modified timestamp, date timestamp, references {ref}")
+    st.load(parsed("f1"), "initial")
+    sizes = lambda: {t: st.read(t).count() for t in ("reference_source", "processed_history", "resolved_reference")}
+    monkeypatch.setattr(store, "stage", lambda *a, **k: 1 / 0)  # after sources and runs have been written
+    with pytest.raises(ZeroDivisionError):
+        st.load(parsed("f2"), "initial")
+    assert set(sizes().values()) == {1} and set(st.orphans().values()) == {0}
+    monkeypatch.undo()
+    assert [r.id for r in st.load(parsed("f2"), "initial").collect()] == ["H2I1"]
+    with pytest.raises(KeyError), st.transaction():
+        st.append("reference_source", spark.createDataFrame([("x", "y")], "bibcode string, source_filename string"))
+        assert st.read("reference_source").count() == 3
+        raise KeyError
+    assert set(sizes().values()) == {2}
+    st.replace("reference_source", st.read("reference_source"))
+    assert sizes()["reference_source"] == 2 and store.Store(spark, st.root).read("reference_source").count() == 2
+
+
+def test_ingest_tells_of_all_stages(spark, tmp_path):
+    source = tmp_path / "src" / "arXiv" / "0"
+    source.mkdir(parents=True)
+    (source / "a.raw").write_text(f"%R {BIB}\n%Z\nSmith, A. 1999, ApJ, 1, 2\nDoe, B. 2001, ApJ, 3, 4\n")
+    (source / "b.raw").write_text("nothing here")
+    parsers = spark.createDataFrame([("arXiv", ".raw", "/text", [])], f"name string, extension_pattern string, reference_service_endpoint string, matches array<{RULE}>")
+    st = store.Store(spark, f"file://{tmp_path}/store")
+    assert cli.ingest(spark, st, S.binary_files(spark, [str(source / "a.raw"), str(source / "b.raw")]), parsers, log=f"{tmp_path}/events") == 2
+    events = S.events(spark, f"{tmp_path}/events")
+    got = {r.stage: r["count"] for r in events.groupBy("stage").count().collect()}
+    assert got == {"parser_lookup": 2, "parse_dispatch": 2, "file_wall": 2, "record_error": 1, "pre_resolved_db": 1, "ingest_enqueue": 1, "queue_references": 1, "record_wall": 2, "resolver_http": 2, "post_resolved_db": 2}
+    one = telemetry.per_record_metrics(telemetry.prepare(events)).first()
+    assert one.wall_count == one.resolver_count == 2 and one.parse_count == 2 and one.db_count == 3 and one.wall_mean > 0
+    assert {(r.extra.source_type, r.extra.raw_subfamily, r.extra.source_bibcode) for r in events.where("stage = 'record_wall'").collect()} == {(".raw", "raw_arxiv", BIB)}
+    assert {float(r.score) for r in st.read("resolved_reference").collect()} == {1.0}
+
+
+def test_lists_and_tables_of_entities_and_codes(spark):
+    from refloom.parse import base
+
+    assert [base.as_list(v) for v in (None, "ab", b"ab", ("a", "b"), {"k": 1})] == [None, ["ab"], [b"ab"], ["a", "b"], ["k"]]
+    lines = ['"38"\t"amp"\t"&"\t"x"\tP', '"9633"\t"squ"\t"q"\t"y"', '"9633"\t"square"\t"[]"\t"y"\tP', '"bad"\t"no"\t"n"\t"y"', '"233;"\t"eacute"\t"e"\t"y"\tP', "", '"1"\t"short"', '"34"\t"quot"\t"""\t"y"\tP']
+    df = spark.createDataFrame(list(enumerate(lines)), "pos int, line string")
+    table = {r.entity: r.ascii for r in S.entity_table(df).collect()}
+    assert table == {"amp": "&", "squ": "q", "square": "[]", "eacute": "e", "quot": '"', "#38": "&", "#9633": "[]", "#233": "e", "#34": '"'}
+    assert base.entities_to_ascii("caf&eacute; &nosuch; &#233;", table) == "cafe [] e" and base.entities_to_ascii("&nosuch;") == "&nosuch;"
+    codes = spark.createDataFrame(list(enumerate(["2004LRR.....7....1A\t10.12942/lrr-2004-1 ", "bad", "a\tb\tc", "2005LRR.....7....1A\t10.12942/lrr-2004-1"])), "pos int, line string")
+    assert [tuple(r) for r in S.code_table(codes).collect()] == [("lrr-2004-1", "2005LRR.....7....1A")]
+
+
 def test_resolvers(spark):
     refs = spark.createDataFrame([("H1I1", "a", None, "z"), ("H1I2", "", "p", "z"), ("H1I3", "", "", "z")], "id string, refstr string, refplaintext string, refraw string")
     assert [r.refstring for r in resolve.mock_resolver(refs).orderBy("id").collect()] == ["a", "p", "z"]
