@@ -36,8 +36,8 @@ CHUNK = 1 << 20  # bytes that are hashed or sorted at a time
 RUN = 1024  # windows in a segment at most
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
-    """For each position of data (uint8), the rank of its next `depth` bytes (8 at least) among all; equal strings have equal ranks, the end counts as zeros."""
+def suffix_ranks(data: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+    """(8, ranks), (16, ranks), ... (depth, ranks), depth being 8 at least: for each position of data (uint8), the rank of its next so many bytes among all; equal strings have equal ranks, the end counts as zeros."""
     n = len(data)
     key = np.zeros(n, np.uint64)
     for i in range(8):
@@ -53,56 +53,73 @@ def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
         rank[order] = grown
         return rank
 
-    rank, have = ranked(key), 8
-    while have < depth:
+    levels = [(8, ranked(key))]
+    while levels[-1][0] < depth:
+        have, rank = levels[-1]
         step = min(have, depth - have)
         key[:] = rank
         key <<= np.uint64(32)
         key[: max(0, n - step)] |= rank[step:]
-        rank = ranked(key)
-        have += step
-    return rank
+        levels.append((have + step, ranked(key)))
+    return levels
 
 
-def longest_previous_factor(data: bytes) -> list[int]:
-    """For each position, the length of the longest match that starts at an earlier position (overlaps count).
+def previous_smaller(v: np.ndarray) -> np.ndarray:
+    """For each place of v, the nearest place before it with a smaller value, -1 if there is none.
 
-    The whole array, for one text: previous and next smaller positions in suffix order, and the lengths of the matches with them.
+    All at once: what lies between a place and its candidate is larger, so a candidate that is larger too is replaced by its own.
     """
-    n = len(data)
-    order = sorted(range(n), key=lambda i: data[i:])
-    before, after = [-1] * n, [-1] * n
-    stack: list[int] = []
-    for p in order:
-        while stack and stack[-1] > p:
-            after[stack.pop()] = p
-        before[p] = stack[-1] if stack else -1
-        stack.append(p)
+    found = np.arange(-1, len(v) - 1)
+    open_ = np.arange(1, len(v))
+    while len(open_):
+        at = found[open_]
+        open_ = open_[(at >= 0) & (v[at] > v[open_])]
+        found[open_] = found[found[open_]]
+    return found
 
-    def common(i: int, j: int) -> int:
-        k = 0
-        while j >= 0 and max(i, j) + k < n and data[i + k] == data[j + k]:
-            k += 1
-        return k
 
-    return [max(common(i, before[i]), common(i, after[i])) for i in range(n)]
+def longest_previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, earlier): for each of the windows at the positions `starts` (ascending), the longest match, up to `length`, of a window before it, and which that is (-1: none).
 
+    In suffix order, cut at depth `length` with equal windows by position, the longest match is with the next smaller
+    position on either side; ranks at depths that double tell how long it is.
+    """
+    levels = suffix_ranks(data, length)
+    order = np.argsort(levels[-1][1][starts], kind="stable")
+    left, right = previous_smaller(order), previous_smaller(order[::-1])[::-1]
+    right = np.where(right >= 0, len(order) - 1 - right, -1)
+
+    def match(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        p, q, off = starts[x], starts[y], np.zeros(len(x), np.int64)
+        for have, rank in reversed(levels):
+            go = np.flatnonzero(off + have <= length)
+            go = go[rank[p[go] + off[go]] == rank[q[go] + off[go]]]
+            off[go] += have
+        for _ in range(7):  # less than eight bytes are left
+            go = np.flatnonzero(off < length)
+            go = go[data[p[go] + off[go]] == data[q[go] + off[go]]]
+            off[go] += 1
+            if not len(go):
+                break
+        return off
+
+    lengths, earlier = np.zeros(len(starts), np.int64), np.full(len(starts), -1)
+    for near in (left, right):
+        has = np.flatnonzero((near >= 0) & (lengths[order] < length))
+        x, y = order[has], order[near[has]]
+        found = match(x, y)
+        more = found > lengths[x]
+        lengths[x[more]], earlier[x[more]] = found[more], y[more]
+    return lengths, earlier
 
-def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the windows at the positions `starts` (ascending): whether an equal one starts earlier, and whether any other is equal.
 
-    In suffix order cut at depth `length`, with equal windows by position, the next earlier position in the same
-    class is the previous smaller value; the first of a class has its smaller neighbours outside, so its longest
-    previous factor is shorter than `length`.
-    """
-    rank = suffix_ranks(data, length)[starts]
-    order = np.argsort(rank, kind="stable")
-    same = rank[order][1:] == rank[order][:-1]
-    earlier, any_ = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[order[1:]] = same
-    any_[order[1:]] |= same
-    any_[order[:-1]] |= same
-    return earlier, any_
+def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the windows at the positions `starts` (ascending): whether an equal one starts earlier, and whether any other is equal."""
+    lengths, earlier = longest_previous_factors(data, starts, length)
+    again = lengths >= length
+    any_ = again.copy()
+    any_[earlier[again]] = True  # of equal windows each is the one before the next
+    return again, any_
 
 
 def _minimizers(data: np.ndarray, gram: int, windows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -374,3 +391,17 @@ def without_later_copies(df: DataFrame, id_col: str = "doc_id", text_col: str =
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(read_table(spark, sf_dir, "documents"), keep="none")
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP10_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400)),
+c AS (SELECT doc_id, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+s AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM c)),
+r AS (SELECT doc_id, g, min(i) AS low, max(i) + 200 AS high FROM s GROUP BY ALL),
+k AS (SELECT doc_id, low, high, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS after FROM r),
+t AS (SELECT doc_id, count(*) AS n_spans, sum(high - low) AS n_removed, max(high) AS last, string_agg(substr(h, 2 * after + 1, 2 * (low - after)), '' ORDER BY low) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * CAST(coalesce(last, 0) AS BIGINT) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""

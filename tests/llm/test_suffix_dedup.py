@@ -70,20 +70,23 @@ def test_repeated_rows_and_null_ids(spark):
     assert S.remove_repeats(df.limit(0)).count() == 0
 
 
-def test_longest_previous_factor():
-    for seed in range(20):
-        r = random.Random(seed)
-        data = bytes(r.choice(b"ab") for _ in range(60))
-        want = [max([0, *(next((k for k in range(len(data)) if i + k >= len(data) or data[i + k] != data[j + k]), 0) for j in range(i))]) for i in range(len(data))]
-        assert S.longest_previous_factor(data) == want
-
-
-def test_truncated_factors_agree_with_whole_ones():
-    data = (b"abracadabra" * 40)[:400] + b"zz" + (b"abracadabra" * 40)[5:300]
-    lpf = S.longest_previous_factor(data)
-    starts = np.arange(len(data) - 31)
-    earlier, _ = S.repeated_windows(np.frombuffer(data, np.uint8), starts, 32)
-    assert earlier.tolist() == [lpf[i] >= 32 for i in starts]
+def test_longest_previous_factors():
+    r = random.Random(1)
+    for _ in range(40):
+        length = r.choice([8, 13, 16, 20, 31, 32])
+        data = "".join(r.choice("aaaabbbbc") for _ in range(r.randrange(length, 300))).encode() * r.choice([1, 1, 2])
+        starts = [p for p in range(len(data) - length + 1) if r.random() < 0.8]
+        common = lambda p, q: next((k for k in range(length) if data[p + k] != data[q + k]), length)  # noqa: E731, B023
+        want = [max([0, *(common(p, q) for q in starts[:k])]) for k, p in enumerate(starts)]
+        got, earlier = S.longest_previous_factors(np.frombuffer(data, np.uint8), np.array(starts, int), length)
+        assert got.tolist() == want
+        assert all(n == 0 or e < k and common(starts[k], starts[e]) == n for k, (n, e) in enumerate(zip(got, earlier)))
+
+
+def test_previous_smaller():
+    r = np.random.default_rng(2)
+    for v in (*(r.permutation(n) for n in (0, 1, 2, 50, 300)), np.arange(99), np.arange(99)[::-1]):
+        assert S.previous_smaller(v).tolist() == [max((j for j in range(i) if v[j] < v[i]), default=-1) for i in range(len(v))]
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
