@@ -46,8 +46,8 @@ def reserved(size: int) -> tuple[int, int, int]:
 def format_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", loss_role: str = LOSS_ROLE, path: str | None = None) -> DataFrame:
     """(conv_id, turn, rank, ids array<int>, loss array<boolean>): one row a turn; the conversation is its rows by turn, then rank.
 
-    Null roles and texts count as empty. rank orders rows of one turn number by role and text, so ties and repeated rows
-    have a defined order. Null conversations are one conversation; null turns come first.
+    Null roles and texts count as empty. rank orders rows of one turn number by role and a hash of the text, so ties and
+    repeated rows have a defined order. Null conversations are one conversation; null turns come first.
     """
     path = path or tokenizer_path()
     rows = df.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

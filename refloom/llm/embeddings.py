@@ -27,9 +27,10 @@ from .simhash import local_roots
 
 THRESHOLD = 0.9
 PIVOTS = 64
-TILE = 50_000  # vectors in a tile, about
+TILE = 50_000  # vectors in a tile, about, of few dimensions
+TILE_BYTES = 32 << 20  # of a tile's vectors in double precision, about
 LEAST_TILES = 8
-MOST_TILES = 16384  # bounds what is sent to all tasks: a centre for each tile
+CENTRE_BYTES = 32 << 20  # of the centres of all tiles, which go to all tasks; with more, no pair of tiles is left out
 BLOCK = 1024
 
 
@@ -148,10 +149,11 @@ def _nearest_pivot(pivots: np.ndarray):
     return run
 
 
-def _pairs(heads: list[tuple[int, np.ndarray, float]], threshold: float):
-    """Each tile once for each pair that it is in; pairs that the triangle inequality rules out are left out."""
+def _pairs(heads: list[tuple[int, np.ndarray | None, float]], threshold: float):
+    """Each tile once for each pair that it is in; pairs that the triangle inequality rules out are left out, if there are centres."""
     order = {t: k for k, (t, _, _) in enumerate(heads)}
-    centres, radii = np.array([h[1] for h in heads]), np.array([h[2] for h in heads])
+    known = all(h[1] is not None for h in heads)
+    centres, radii = (np.array([h[1] for h in heads]), np.array([h[2] for h in heads])) if known else (None, None)
     limit = math.acos(threshold) + 1e-6
     names = ["a", "b", "side", "keys", "many", "vectors", "n"]
 
@@ -159,8 +161,11 @@ def _pairs(heads: list[tuple[int, np.ndarray, float]], threshold: float):
         for batch in batches:
             for tile, n, keys, many, vectors in zip(*(batch.column(c).to_pylist() for c in ("tile", "n", "keys", "many", "vectors"))):
                 me = order[tile]
-                apart = np.arccos(np.clip(centres @ centres[me], -1, 1)) - radii - radii[me]
-                for other in np.flatnonzero((apart <= limit) | (np.arange(len(heads)) == me)).tolist():
+                near = np.ones(len(heads), bool)
+                if known:
+                    near = np.arccos(np.clip(centres @ centres[me], -1, 1)) - radii - radii[me] <= limit
+                    near[me] = True
+                for other in np.flatnonzero(near).tolist():
                     a, b = min(me, other), max(me, other)
                     yield pa.RecordBatch.from_arrays([pa.array([a]), pa.array([b]), pa.array([int(me != a)]), pa.array([keys]), pa.array([many]), pa.array([vectors]), pa.array([n])], names=names)
 
@@ -232,15 +237,30 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 def _linked(different: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(key, links, root) of the different vectors of one dimension."""
     n = different.count()
-    tiles = min(MOST_TILES, max(LEAST_TILES, -(-n // tile)))
     pivots = unit_vectors(np.array([r["v"] for r in different.orderBy(F.xxhash64("v")).limit(PIVOTS).collect()]))
+    wide = 8 * pivots.shape[1]
+    tile = max(1, min(tile, TILE_BYTES // wide))
+    tiles = max(LEAST_TILES, -(-n // tile))
     placed = different.select("key", "many", "v").mapInArrow(_nearest_pivot(pivots), "key long, many long, vector array<double>, pivot int")
     dealt = placed.repartitionByRange(tiles, "pivot", "key").select("key", "many", "vector")
     made = stored(dealt.mapInArrow(_tiles(-(-n // tiles) + 1, pivots), "tile long, n long, centre binary, radius double, keys binary, many binary, vectors binary"), "tiles")
-    heads = [(r["tile"], np.frombuffer(r["centre"]), r["radius"]) for r in made.select("tile", "centre", "radius").orderBy("tile").collect()]
+    told = made.select("tile", "radius", *(["centre"] if made.count() * wide <= CENTRE_BYTES else [])).orderBy("tile").collect()
+    heads = [(r["tile"], np.frombuffer(r["centre"]) if "centre" in r else None, r["radius"]) for r in told]
     pairs = made.mapInArrow(_pairs(heads, threshold), "a long, b long, side long, keys binary, many binary, vectors binary, n long")
     return pairs.repartition(len(heads) * (len(heads) + 1) // 2 if len(heads) <= 64 else 4 * len(heads), "a", "b").sortWithinPartitions("a", "b", "side").mapInArrow(_compare(threshold), "key long, links long, root long")
 
 
+OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+r AS (SELECT DISTINCT x, x AS y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS low FROM r GROUP BY x), n AS (SELECT x, count(*) AS many FROM l GROUP BY x)
+SELECT vec_id, coalesce(many, 0) AS n_links, coalesce(low, vec_id) AS component_id, vec_id = coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "embeddings"))

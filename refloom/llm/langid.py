@@ -34,6 +34,7 @@ FAMILIES = {
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
 PER_LANG = 400
+SAMPLE = 40_000  # documents that are learned from, at most
 PIECE = 1 << 20
 
 
@@ -139,13 +140,14 @@ def held_out(id_col: Column) -> Column:
 
 
 def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Model:
-    """Fit the machines on at most per_lang documents of each language, chosen by hash among those that are not held out.
+    """Fit the machines on at most per_lang documents of each language, and SAMPLE of all, chosen by hash among those that are not held out.
 
     Rows without a language or without letters teach nothing. No rows to learn from: a model that knows no language.
     """
     rows = df.where(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     place = F.pmod(F.xxhash64(F.col("id"), F.col("lang")), F.lit(1 << 30))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # as many as there are languages
+    per_lang = max(1, min(per_lang, SAMPLE // max(1, len(counts))))
     if not counts:
         return Model(np.zeros((0, DIMENSIONS), np.float32), [])
     share = F.create_map(*[v for lang, n in counts.items() for v in (F.lit(lang), F.lit(min(1 << 30, math.ceil((per_lang / n) * (1 << 30)))))])

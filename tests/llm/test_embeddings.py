@@ -31,8 +31,10 @@ def slow(rows, threshold):
     return sorted(((rows[k][0], int(link[k].sum()), low[k], rows[k][0] is not None and rows[k][0] == low[k]) for k in range(n)), key=str)
 
 
-@pytest.mark.parametrize(("threshold", "tile"), [(0.9, 200_000), (0.97, 5)])
-def test_against_brute_force(spark, threshold, tile):
+@pytest.mark.parametrize(("threshold", "tile", "tile_bytes", "centre_bytes"), [(0.9, 200_000, 1 << 25, 1 << 25), (0.97, 5, 1 << 25, 1 << 25), (0.9, 200_000, 1000, 0)])
+def test_against_brute_force(spark, monkeypatch, threshold, tile, tile_bytes, centre_bytes):
+    monkeypatch.setattr(E, "TILE_BYTES", tile_bytes)
+    monkeypatch.setattr(E, "CENTRE_BYTES", centre_bytes)
     rows = [(k * 7 % 1000, v) for k, v in enumerate(vectors())] + [(None, vectors()[0]), (None, None)]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, key int, root string")
     got = sorted((tuple(r) for r in E.near_duplicates(df, threshold=threshold, tile=tile).collect()), key=str)

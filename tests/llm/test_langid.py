@@ -41,10 +41,14 @@ def test_held_out_rows_teach_nothing(spark):
     assert all((a.machines[k] == b.machines[k]).all() for k in a.machines) and a.machines.keys() == b.machines.keys()
 
 
-def test_bound_and_empty(spark):
+def test_bound_and_empty(spark, monkeypatch):
     df = spark.createDataFrame(corpus(), "doc_id long, text string, lang string")
     small = L.learn(df, per_lang=5)
     assert small.families == L.learn(df).families
+    monkeypatch.setattr(L, "SAMPLE", 50)
+    few = L.learn(df, per_lang=10)
+    monkeypatch.setattr(L, "SAMPLE", 10**9)
+    assert all((few.machines[k] == w).all() for k, w in L.learn(df, per_lang=10).machines.items())
     empty = L.learn(df.limit(0))
     assert {r.lang_pred for r in L.identify(df, empty).collect()} == {"und"} and L.identify(df.limit(0), small).count() == 0
     one = L.learn(df.where("lang = 'en'"))
@@ -56,3 +60,31 @@ def test_features_do_not_depend_on_pieces(monkeypatch):
     whole = L.features(text)
     monkeypatch.setattr(L, "PIECE", 7)
     assert np.allclose(whole, L.features(text))
+
+
+def test_against_a_plain_version():
+    """Family first, then its languages: votes of one-versus-one machines, written out for each text."""
+    rows = corpus()
+    model = L.Model(np.stack([L.features(t) for _, t, _ in rows]), [lang for _, _, lang in rows])
+
+    def vote(kind, names, x):
+        votes, sums, least = ({n: v for n in names} for v in (0, 0.0, np.inf))
+        for i, a in enumerate(names):
+            for b in names[i + 1 :]:
+                w = model.machines[kind, a, b]
+                m = float(np.dot(x, w[:-1]) + w[-1])
+                votes[a if m > 0 else b] += 1
+                for n, v in ((a, m), (b, -m)):
+                    sums[n] += v
+                    least[n] = min(least[n], v)
+        best = sorted(names, key=lambda n: (votes[n], sums[n], n))[-1]
+        return best, 1.0 if len(names) == 1 else 1 / (1 + np.exp(-2 * least[best]))
+
+    texts = [t for _, t, _ in rows[::7]] + ["casa maison haus", "the die la", "zzq"]
+    for text, (lang, score) in zip(texts, model.predict(texts)):
+        x = L.features(text)
+        family, p = vote("family", sorted(model.families), x)
+        want, q = vote("lang", model.families[family], x)
+        assert lang == want and L.family_of(lang) == family and abs(score - p * q) < 1e-4
+    pairs = {k[0] for k in model.machines}
+    assert pairs == {"family", "lang"} and all(L.family_of(a) == L.family_of(b) for kind, a, b in model.machines if kind == "lang")
