@@ -36,8 +36,8 @@ CHUNK = 1 << 20  # bytes that are hashed or sorted at a time
 RUN = 1024  # windows in a segment at most
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
-    """(8, ranks), (16, ranks), ... (depth, ranks), depth being 8 at least: for each position of data (uint8), the rank of its next so many bytes among all; equal strings have equal ranks, the end counts as zeros."""
+def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
+    """For each position of data (uint8), the rank of its next `depth` bytes (8 at least) among all; equal strings have equal ranks, the end counts as zeros."""
     n = len(data)
     key = np.zeros(n, np.uint64)
     for i in range(8):
@@ -53,15 +53,15 @@ def suffix_ranks(data: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
         rank[order] = grown
         return rank
 
-    levels = [(8, ranked(key))]
-    while levels[-1][0] < depth:
-        have, rank = levels[-1]
+    rank, have = ranked(key), 8
+    while have < depth:
         step = min(have, depth - have)
         key[:] = rank
         key <<= np.uint64(32)
         key[: max(0, n - step)] |= rank[step:]
-        levels.append((have + step, ranked(key)))
-    return levels
+        rank = ranked(key)
+        have += step
+    return rank
 
 
 def previous_smaller(v: np.ndarray) -> np.ndarray:
@@ -69,8 +69,8 @@ def previous_smaller(v: np.ndarray) -> np.ndarray:
 
     All at once: what lies between a place and its candidate is larger, so a candidate that is larger too is replaced by its own.
     """
-    found = np.arange(-1, len(v) - 1)
-    open_ = np.arange(1, len(v))
+    found = np.arange(-1, len(v) - 1, dtype=np.int32)
+    open_ = np.arange(1, len(v), dtype=np.int32)
     while len(open_):
         at = found[open_]
         open_ = open_[(at >= 0) & (v[at] > v[open_])]
@@ -78,45 +78,30 @@ def previous_smaller(v: np.ndarray) -> np.ndarray:
     return found
 
 
-def longest_previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(lengths, earlier): for each of the windows at the positions `starts` (ascending), the longest match, up to `length`, of a window before it, and which that is (-1: none).
+def previous_factors(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """For each of the windows at the positions `starts` (ascending): a window before it that its longest previous factor,
+    cut at `length` bytes, matches whole; -1 if that factor is shorter.
 
-    In suffix order, cut at depth `length` with equal windows by position, the longest match is with the next smaller
-    position on either side; ranks at depths that double tell how long it is.
+    In suffix order cut at that depth, equal windows by position, the longest previous factor is a match with the next
+    smaller position on the left or on the right.
     """
-    levels = suffix_ranks(data, length)
-    order = np.argsort(levels[-1][1][starts], kind="stable")
-    left, right = previous_smaller(order), previous_smaller(order[::-1])[::-1]
-    right = np.where(right >= 0, len(order) - 1 - right, -1)
-
-    def match(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        p, q, off = starts[x], starts[y], np.zeros(len(x), np.int64)
-        for have, rank in reversed(levels):
-            go = np.flatnonzero(off + have <= length)
-            go = go[rank[p[go] + off[go]] == rank[q[go] + off[go]]]
-            off[go] += have
-        for _ in range(7):  # less than eight bytes are left
-            go = np.flatnonzero(off < length)
-            go = go[data[p[go] + off[go]] == data[q[go] + off[go]]]
-            off[go] += 1
-            if not len(go):
-                break
-        return off
-
-    lengths, earlier = np.zeros(len(starts), np.int64), np.full(len(starts), -1)
-    for near in (left, right):
-        has = np.flatnonzero((near >= 0) & (lengths[order] < length))
-        x, y = order[has], order[near[has]]
-        found = match(x, y)
-        more = found > lengths[x]
-        lengths[x[more]], earlier[x[more]] = found[more], y[more]
-    return lengths, earlier
+    rank = suffix_ranks(data, length)[starts]
+    order = np.argsort(rank, kind="stable").astype(np.int32)
+    rank = rank[order]
+    earlier = np.full(len(starts), -1, np.int32)
+    for way in (1, -1):
+        near = previous_smaller(order[::way])[::way]
+        has = np.flatnonzero(near >= 0)
+        near = near[has] if way == 1 else len(order) - 1 - near[has]
+        whole = rank[has] == rank[near]
+        earlier[order[has[whole]]] = order[near[whole]]
+    return earlier
 
 
 def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of the windows at the positions `starts` (ascending): whether an equal one starts earlier, and whether any other is equal."""
-    lengths, earlier = longest_previous_factors(data, starts, length)
-    again = lengths >= length
+    earlier = previous_factors(data, starts, length)
+    again = earlier >= 0
     any_ = again.copy()
     any_[earlier[again]] = True  # of equal windows each is the one before the next
     return again, any_

@@ -70,17 +70,17 @@ def test_repeated_rows_and_null_ids(spark):
     assert S.remove_repeats(df.limit(0)).count() == 0
 
 
-def test_longest_previous_factors():
+def test_previous_factors():
     r = random.Random(1)
-    for _ in range(40):
+    for _ in range(60):
         length = r.choice([8, 13, 16, 20, 31, 32])
-        data = "".join(r.choice("aaaabbbbc") for _ in range(r.randrange(length, 300))).encode() * r.choice([1, 1, 2])
+        data = "".join(r.choice("aaaaaaab") for _ in range(r.randrange(length, 300))).encode() * r.choice([1, 1, 2])
         starts = [p for p in range(len(data) - length + 1) if r.random() < 0.8]
-        common = lambda p, q: next((k for k in range(length) if data[p + k] != data[q + k]), length)  # noqa: E731, B023
-        want = [max([0, *(common(p, q) for q in starts[:k])]) for k, p in enumerate(starts)]
-        got, earlier = S.longest_previous_factors(np.frombuffer(data, np.uint8), np.array(starts, int), length)
-        assert got.tolist() == want
-        assert all(n == 0 or e < k and common(starts[k], starts[e]) == n for k, (n, e) in enumerate(zip(got, earlier)))
+        windows = [data[p : p + length] for p in starts]
+        longest = [max([0, *(next((k for k in range(length) if w[k] != windows[j][k]), length) for j in range(i))]) for i, w in enumerate(windows)]
+        earlier = S.previous_factors(np.frombuffer(data, np.uint8), np.array(starts, int), length)
+        assert [e >= 0 for e in earlier] == [n == length for n in longest]
+        assert all(e < i and windows[e] == windows[i] for i, e in enumerate(earlier) if e >= 0)
 
 
 def test_previous_smaller():
