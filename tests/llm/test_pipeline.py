@@ -99,3 +99,26 @@ def test_stages_return_the_columns_of_documents(run):
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Null ids, null, empty and blank texts, repeated rows, one id with two texts, columns that clash with those made inside."""
+    long_ = " ".join(f"w{k}" for k in range(80))
+    rows = [(1, long_, "en", "a"), (1, long_, "en", "a"), (1, "another text of this id", "en", "a"), (2, long_ + " end", "en", None), (None, long_, None, "b"), (None, None, None, None), (3, None, "en", "a"), (4, "", "en", "b"), (5, "  \n", "en", "b"), (6, "few words", None, "a")]
+    schema = P.COLUMNS[0] + " long, text string, lang string, source string, n_chars long, node long, place string, id string, copies int, spans string"
+    docs = spark.createDataFrame([(i, t, lang, s, len(t or ""), 7, "x", "y", 9, "z") for i, t, lang, s in rows], schema)
+    key = lambda rs: sorted(((r.doc_id, r.text) for r in rs), key=str)
+    stages = {name: stage(spark, docs, str(tmp_path)) for name, stage in P.STAGES if name != "language identification"}
+    assert all(df.columns == list(P.COLUMNS) for name, df in stages.items() if name != "BPE encoding")
+    # the smallest id of a group stays, as often as it came, and so do null ids; texts without words are one group
+    assert key(stages["SimHash near-dedup"].collect()) == key(docs.where("doc_id is null or doc_id in (1, 3, 6)").collect())
+    # a null id comes first, repeated rows are one place, and what is left of no text goes
+    left = stages["suffix-array dedup"].collect()
+    assert all(r.n_chars == len(r.text) for r in left) and {r.doc_id for r in left} == {None, 1, 2, 6, 5}
+    assert [r.text for r in left if r.doc_id is None] == [long_] and [r.text for r in left if r.doc_id == 2][0].endswith(" end") and len([r.text for r in left if r.doc_id == 2][0]) < 200
+    mixed = stages["mixing sources"].collect()
+    assert {(r.doc_id, r.text) for r in mixed} <= {(i, t) for i, t, *_ in rows} and max(sum((r.doc_id, r.text) == (2, long_ + " end") for r in mixed), 1) <= 2
+    ids = stages["BPE encoding"].collect()
+    assert len(ids) == len(rows) and sum(not r.ids for r in ids) == 3 and all(r.n_tokens == len(r.ids) for r in ids)
+    for _, stage in P.STAGES[1:]:
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
