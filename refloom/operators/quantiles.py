@@ -36,4 +36,5 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, wanted: dict[s
     hit = placed.join(sought, [*keys, "_band"]).where((F.col("_r.rank") - F.col("_before") >= F.col("_low")) & (F.col("_r.rank") - F.col("_before") < F.col("_low") + F.col("_n")))
     pick = lambda name, upper: F.max(F.when((F.col("_r.name") == name) & (F.col("_r.upper") == upper), F.col("_v")))
     share = lambda name: F.max(F.when(F.col("_r.name") == name, F.col("_r.at") - F.floor("_r.at")))
-    return hit.groupBy(*keys).agg(*((pick(n, False) + (pick(n, True) - pick(n, False)) * share(n)).alias(n) for n in wanted))
+    between = lambda n: F.when(pick(n, True) == pick(n, False), pick(n, False)).otherwise(pick(n, False) + (pick(n, True) - pick(n, False)) * share(n))
+    return hit.groupBy(*keys).agg(*(between(n).alias(n) for n in wanted))

@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import nonempty, raw_subfamily, source_type
 from ..schemas import SYSTEM_METRICS
+from .quantiles import exact_percentiles
 
 NOT_STAGES = ("task_timing", "app_timing")
 DB_STAGES = ("pre_resolved_db", "post_resolved_db")
 UNKNOWN = "unknown"
+SMALL = 32 << 20  # bytes of input, by Catalyst's estimate, up to which percentiles are one aggregation
 STATS = ("count", "min", "max", "mean", "p50", "p95", "p99")
 
 
 def stats(value: Column, p99: bool = True) -> dict[str, Column]:
-    """count, min, max, mean and exact linear-interpolated percentiles of the non-null values; no values: count 0 and nulls."""
+    """count, min, max, mean and exact linear-interpolated percentiles of the non-null values; no values: count 0 and nulls. For windows of a stream; stats_by() for the rest."""
     ranks = [0.5, 0.95, 0.99][: 3 if p99 else 2]
     found = F.percentile(value, F.array(*map(F.lit, ranks)))  # one aggregation for all
     out = {"count": F.count(value), "min": F.min(value), "max": F.max(value), "mean": F.avg(value)}
@@ -31,6 +33,35 @@ def stat_columns(value: Column, prefix: str = "", p99: bool = True) -> list[Colu
     return [c.alias(f"{prefix}{name}") for name, c in stats(value, p99).items()]
 
 
+def _within(df: DataFrame, size: int) -> bool:
+    """Whether Catalyst's estimate of df is at most `size` bytes; False where there is none."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) <= size
+    except AttributeError:  # Spark Connect
+        return False
+
+
+def stats_by(df: DataFrame, keys: list[str], measures: dict[str, Column], p99: bool = True, others: list[Column] = (), small: int = SMALL) -> DataFrame:
+    """keys, the aggregates `others`, and stats() of each measure with its prefix, for groups of any size.
+
+    stats() holds the different values of a group in one task, so it is used on at most `small` bytes. Above that no task
+    holds a group: percentiles are found by bands, of all measures at once. Both are exact. Keys must not be null. No keys:
+    one row, also of no rows.
+    """
+    if _within(df.select(*keys, *measures.values()), small):
+        return df.groupBy(*keys).agg(*others, *(c for prefix, m in measures.items() for c in stat_columns(m, prefix, p99)))
+    df = df.withColumns({f"_m{k}": m.cast("double") for k, m in enumerate(measures.values())})
+    simple = [c.alias(f"{prefix}{name}") for k, prefix in enumerate(measures) for name, c in (("count", F.count(f"_m{k}")), ("min", F.min(f"_m{k}")), ("max", F.max(f"_m{k}")), ("mean", F.avg(f"_m{k}")))]
+    wanted = {f"p{round(q * 100)}": q for q in [0.5, 0.95, 0.99][: 3 if p99 else 2]}
+    long = df.select(*keys, F.explode(F.array(*(F.struct(F.lit(k).alias("which"), F.col(f"_m{k}").alias("value")) for k in range(len(measures))))).alias("_x"))
+    found = exact_percentiles(long.select(*keys, F.col("_x.which").alias("_which"), F.col("_x.value").alias("_value")), [*keys, "_which"], "_value", wanted)
+    wide = found.groupBy(*keys).agg(*(F.max(F.when(F.col("_which") == k, F.col(name))).alias(f"{prefix}{name}") for k, prefix in enumerate(measures) for name in wanted))
+    out = df.groupBy(*keys).agg(*others, *simple)
+    out = out.join(wide, keys, "left") if keys else out.crossJoin(wide)  # a row and a row
+    rest = [c for c in out.columns if c not in keys and not any(c == f"{prefix}{name}" for prefix in measures for name in STATS)]
+    return out.select(*keys, *rest, *(f"{prefix}{name}" for prefix in measures for name in STATS[: 4 + len(wanted)]))
+
+
 def prepare(events: DataFrame) -> DataFrame:
     """Events with defaults applied: stage, ok, records, the file's kind and family, and the duration for one record."""
     x = lambda f: nonempty(F.col(f"extra.{f}"))
@@ -47,12 +78,12 @@ def prepare(events: DataFrame) -> DataFrame:
 
 def stage_latency(prepared: DataFrame) -> DataFrame:
     """Stats of the duration for one record, by stage."""
-    return prepared.where(~F.col("stage").isin(*NOT_STAGES) & F.col("duration_ms").isNotNull()).groupBy("stage").agg(*stat_columns(F.col("per_record_ms")))
+    return prepared.where(~F.col("stage").isin(*NOT_STAGES) & F.col("duration_ms").isNotNull()).transform(stats_by, ["stage"], {"": F.col("per_record_ms")})
 
 
 def named_timing(prepared: DataFrame, stage: str) -> DataFrame:
     """Stats of the raw duration of task_timing or app_timing events, by name."""
-    return prepared.where((F.col("stage") == stage) & F.col("duration_ms").isNotNull()).groupBy("name").agg(*stat_columns(F.col("duration_ms")))
+    return prepared.where((F.col("stage") == stage) & F.col("duration_ms").isNotNull()).transform(stats_by, ["name"], {"": F.col("duration_ms")})
 
 
 def _measures() -> dict[str, Column]:
@@ -63,7 +94,7 @@ def _measures() -> dict[str, Column]:
 
 def per_record_metrics(prepared: DataFrame) -> DataFrame:
     """One row with the stats of wall, parse, resolver and db."""
-    return prepared.agg(*(c for name, m in _measures().items() for c in stat_columns(m, f"{name}_")))
+    return stats_by(prepared, [], {f"{name}_": m for name, m in _measures().items()})
 
 
 def _count_columns(exclude_stages: tuple[str, ...] = ()) -> list[Column]:
@@ -106,8 +137,9 @@ def breakdown(prepared: DataFrame, by: str, wall_s: Column | None = None) -> Dat
     """
     timed = prepared.where(F.col("duration_ms").isNotNull() & ~F.col("stage").isin(*NOT_STAGES))
     key = F.col(by) if by == "raw_subfamily" else F.coalesce(by, F.lit(UNKNOWN))
-    grouped = timed.withColumn("group", key).where("group is not null").groupBy("group")
-    out = grouped.agg(F.count_distinct("source_filename").alias("file_count"), F.count_distinct("record_id").alias("record_count"), *(c for name, m in _measures().items() for c in stat_columns(m, f"{name}_")))
+    grouped = timed.withColumn("group", key).where("group is not null")
+    seen = [F.count_distinct("source_filename").alias("file_count"), F.count_distinct("record_id").alias("record_count")]
+    out = stats_by(grouped, ["group"], {f"{name}_": m for name, m in _measures().items()}, others=seen)
     if wall_s is None:
         return out
     return out.withColumn("throughput_records_per_minute", F.when((wall_s > 0) & (F.col("record_count") > 0), F.col("record_count") / wall_s * 60))
@@ -122,7 +154,7 @@ def slowest(groups: DataFrame, limit: int | None = 10) -> DataFrame:
 def unpivot_stats(samples: DataFrame, metrics: tuple[str, ...] = SYSTEM_METRICS) -> DataFrame:
     """Stats without p99 of each metric column, one row a metric."""
     long = samples.unpivot([], [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value")
-    return long.groupBy("metric").agg(*stat_columns(F.col("value"), p99=False))
+    return stats_by(long, ["metric"], {"": F.col("value")}, p99=False)
 
 
 def load_factor(samples: DataFrame) -> DataFrame:

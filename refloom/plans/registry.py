@@ -259,9 +259,14 @@ def positional_compare(spark, d):
     return compare.positional_compare(rows, classic)
 
 
-@register()
+@register(f"""WITH RECURSIVE side AS (SELECT conv_id AS block, turn AS pos, role || (length(coalesce(text, '')) % 3) AS ref, 'b' || (turn % 2) AS sb, 'b' || (turn % 3) AS cb FROM conversations),
+lists AS (SELECT block, list(struct_pack(pos, ref, b := sb) ORDER BY pos) AS ours, coalesce(list(struct_pack(pos, ref, b := cb) ORDER BY pos) FILTER (pos > 0), []) AS theirs FROM side GROUP BY block),
+fold AS (SELECT block, ours, theirs, 0 AS k, CAST([] AS BIGINT[]) AS taken, CAST(NULL AS BIGINT) AS hit FROM lists
+ UNION ALL SELECT block, ours, theirs, k, CASE WHEN hit IS NULL THEN taken ELSE list_append(taken, hit) END, hit FROM (
+  SELECT block, ours, theirs, k + 1 AS k, taken, CAST(list_filter(range(1, len(theirs) + 1), lambda j: NOT list_contains(taken, j) AND (theirs[j].ref = ours[k + 1].ref OR theirs[j].b = ours[k + 1].b))[1] AS BIGINT) AS hit FROM fold WHERE k < len(ours)))
+SELECT block, pos, s.b AS service_bibcode, c.b AS classic_bibcode, '1' AS classic_score, {COMPARE_CASE.replace('c.score', "'1'")} AS state FROM (SELECT block, ours[k].pos AS pos, ours[k] AS s, theirs[hit] AS c FROM fold WHERE hit IS NOT NULL)""")
 def greedy_compare(spark, d):
-    """The same sides, taken in order; no SQL, as what a row takes depends on all before it (tests hold it against a fold)."""
+    """The same sides, taken in order."""
     rows = _read(spark, d, "conversations")
     service = rows.select(F.col("conv_id").alias("block"), F.col("turn").alias("pos"), F.expr("role || (length(coalesce(text, '')) % 3)").alias("refstring"), F.expr("concat('b', turn % 2)").alias("bibcode"))
     classic = rows.where("turn > 0").select(F.col("conv_id").alias("block"), F.col("turn").alias("pos"), F.expr("role || (length(coalesce(text, '')) % 3)").alias("reference"), F.expr("concat('b', turn % 3)").alias("bibcode"), F.lit("1").alias("score"))

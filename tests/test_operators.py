@@ -330,3 +330,16 @@ def test_exact_percentiles(spark):
     got = {r.k: r for r in exact_percentiles(df, ["k"], "v", wanted).collect()}
     want = {r.k: r for r in df.where("v is not null").groupBy("k").agg(*(F.percentile("v", F.lit(q)).alias(n) for n, q in wanted.items())).collect()}
     assert got.keys() == want.keys() and all(abs(got[k][n] - want[k][n]) < 1e-9 for k in want for n in wanted)
+
+
+def test_stats_by_bands_are_those_of_one_aggregation(spark):
+    from refloom.operators.telemetry import stats_by
+
+    df = spark.sql("select concat('g', id % 3) as k, if(id % 7 = 0, null, double(pmod(hash(id), 500) - 100)) as a, if(id % 3 = 1, null, double(id % 5)) as b, id from range(900)")
+    measures = {"a_": F.col("a"), "": F.col("b")}
+    for rows in (df, df.where("id < 4"), df.where("id < 0")):
+        for keys in (["k"], []):
+            many, few = (stats_by(rows, keys, measures, others=[F.count("*").alias("n")], small=size) for size in (-1, 1 << 62))
+            assert many.columns == few.columns
+            plain = lambda d: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.collect())
+            assert plain(many) == plain(few)
