@@ -22,5 +22,6 @@ ORACLE_SQL = {
     "op3_warc": warc.OP3_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op7_embeddings": embeddings.OP7_SQL,
+    "op9_spotsigs": spotsigs.OP9_SQL,
     "op10_suffix_dedup": suffix_dedup.OP10_SQL,
 }

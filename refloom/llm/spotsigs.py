@@ -128,3 +128,33 @@ def compare_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(read_table(spark, sf_dir, "documents"))
+
+
+#: The same by words in order, one row a word. Hashes are Spark's hash() of a string, 32-bit Murmur3 with seed 42, folded over
+#: four bytes at a time and then the one to three left over, each as a signed number.
+OP9_SQL = rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+after AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS next_text, coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id FROM t),
+made AS (SELECT *, substring(text, 1, n - n // 2) || substring(next_text, 1, n // 2) AS edited FROM after),
+words AS (SELECT doc_id, kind, list_filter(string_split_regex(lower(body), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS ws FROM (SELECT doc_id, 0 AS kind, text AS body FROM made UNION ALL SELECT doc_id, 1, edited FROM made)),
+placed AS (SELECT doc_id, kind, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM words),
+told AS (SELECT *, w IN ({", ".join(f"'{w}'" for w in sorted({w for line in ANCHORS.values() for w in line.split()}))}) AS anchor FROM placed),
+led AS (SELECT *, lag(anchor) OVER (PARTITION BY doc_id, kind ORDER BY i) AS led FROM told),
+content AS (SELECT doc_id, kind, led, w, lead(w) OVER (PARTITION BY doc_id, kind ORDER BY i) AS w2 FROM led WHERE NOT anchor),
+chains AS (SELECT DISTINCT doc_id, kind, w || ' ' || w2 AS sig FROM content WHERE led AND w2 IS NOT NULL),
+sigs AS (FROM chains UNION ALL SELECT doc_id, kind, array_to_string(ws, ' ') FROM words ANTI JOIN chains USING (doc_id, kind) WHERE len(ws) > 0),
+bytes AS (SELECT sig, hex(sig) AS x, length(hex(sig)) // 2 AS n FROM (SELECT DISTINCT sig FROM sigs)),
+parts AS (SELECT sig, n, list_concat(
+ list_transform(range(n // 4), lambda k: CAST('0x' || substring(x, 8 * k + 7, 2) || substring(x, 8 * k + 5, 2) || substring(x, 8 * k + 3, 2) || substring(x, 8 * k + 1, 2) AS BIGINT)),
+ list_transform(range(n - n % 4, n), lambda k: (CAST('0x' || substring(x, 2 * k + 1, 2) AS BIGINT) + 128) % 256 + 4294967168)) AS ks FROM bytes),
+mixed AS (SELECT sig, n, list_transform(list_transform(ks, lambda k: CAST(k % 4294967296 AS UBIGINT) * 3432918353 % 4294967296), lambda k: (((k * 32768) % 4294967296) + k // 131072) * 461845907 % 4294967296) AS ks FROM parts),
+folded AS (SELECT sig, xor(list_reduce(list_prepend(CAST(42 AS UBIGINT), ks), lambda h, k: ((((xor(h, k) * 8192) % 4294967296) + xor(h, k) // 524288) * 5 + 3864292196) % 4294967296), CAST(n AS UBIGINT)) AS h FROM mixed),
+last1 AS (SELECT sig, xor(h, h // 65536) * 2246822507 % 4294967296 AS h FROM folded),
+last2 AS (SELECT sig, xor(h, h // 8192) * 3266489909 % 4294967296 AS h FROM last1),
+hashed AS (SELECT sig, xor(h, h // 65536) AS u FROM last2),
+sets AS (SELECT doc_id, kind, list_sort(list(DISTINCT CASE WHEN u < 2147483648 THEN CAST(u AS BIGINT) ELSE CAST(u AS BIGINT) - 4294967296 END)) AS s FROM sigs JOIN hashed USING (sig) GROUP BY ALL),
+paired AS (SELECT m.doc_id, m.n, m.edited, coalesce(a.s, []) AS a, coalesce(b.s, []) AS b, coalesce(c.s, []) AS c FROM made m LEFT JOIN sets a ON a.doc_id = m.doc_id AND a.kind = 0 LEFT JOIN sets b ON b.doc_id = m.doc_id AND b.kind = 1 LEFT JOIN sets c ON c.doc_id = m.next_id AND c.kind = 0)
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+ array_to_string(list_transform(a, lambda h: printf('%08x', (h + 4294967296) % 4294967296)), '') AS fingerprint, array_to_string(list_transform(b, lambda h: printf('%08x', (h + 4294967296) % 4294967296)), '') AS edited_fingerprint,
+ CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE CAST(len(list_intersect(a, b)) AS DOUBLE) / (len(a) + len(b) - len(list_intersect(a, b))) END AS near_edited,
+ CASE WHEN len(a) + len(c) = 0 THEN 1.0 ELSE CAST(len(list_intersect(a, c)) AS DOUBLE) / (len(a) + len(c) - len(list_intersect(a, c))) END AS near_next,
+ CAST(floor(ln(greatest(len(a), 1)) / {-math.log(THRESHOLD)!r}) AS BIGINT) AS length_class FROM paired"""
