@@ -56,14 +56,20 @@ def greedy_compare(service: DataFrame, classic: DataFrame) -> DataFrame:
     return pairs.withColumn("state", compare_state(F.col("service_bibcode"), F.col("classic_bibcode"), F.col("classic_score")))
 
 
-def compare_tags(history: DataFrame, resolved: DataFrame, compare: DataFrame, bibcode: str | None = None, filename: str | None = None, match: str = "regex", all_states: bool = False) -> DataFrame:
-    """A column for each state, holding its name or null, by (history_id, item_num). match="regex": the tables' values are
-    patterns that the arguments are searched for, unanchored; "exact": they are equal."""
-    if bibcode is None and filename is None:
-        raise ValueError("bibcode or filename is needed")
+def runs_named(history: DataFrame, bibcode: str | None = None, filename: str | None = None, match: str = "regex") -> DataFrame:
+    """Runs by bibcode, file name or both. match="regex": the table's values are patterns that the arguments are searched
+    for, unanchored; "exact": they are equal."""
     for column, value in (("bibcode", bibcode), ("source_filename", filename)):
         if value is not None:
             history = history.where(F.rlike(F.lit(value), F.col(column)) if match == "regex" else F.col(column) == value)
+    return history
+
+
+def compare_tags(history: DataFrame, resolved: DataFrame, compare: DataFrame, bibcode: str | None = None, filename: str | None = None, match: str = "regex", all_states: bool = False) -> DataFrame:
+    """A column for each state, holding its name or null, by (history_id, item_num), of the runs that runs_named() finds."""
+    if bibcode is None and filename is None:
+        raise ValueError("bibcode or filename is needed")
+    history = runs_named(history, bibcode, filename, match)
     ids = resolved.join(history.select(F.col("id").alias("history_id")), "history_id").select("history_id", "item_num").distinct()
     states = STATES + HIDDEN_STATES if all_states else STATES
     joined = ids.join(compare.select("history_id", "item_num", "state"), ["history_id", "item_num"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,6 +70,11 @@ def resolved_counts(resolved: DataFrame, history_ids: DataFrame | None = None) -
     return resolved.groupBy("history_id").agg(F.count("item_num").alias("last_run_num_references"), F.count(F.when(F.col("score") > 0, F.col("score"))).alias("last_run_num_resolved_references"))
 
 
+def all_bibcodes(*tables: DataFrame) -> DataFrame:
+    """(bibcode) of any of the tables, once each."""
+    return reduce(DataFrame.union, (t.select("bibcode").distinct() for t in tables)).distinct()
+
+
 def diagnostics(source: DataFrame, history: DataFrame, resolved: DataFrame) -> DataFrame:
     """For each bibcode of either table: its first source, its run summary and the counts of its last run; what is missing is null."""
     first = _first(source.select("bibcode", F.col("source_filename").alias("source_file"), "resolved_filename", "parser_name"), ["bibcode"], [F.asc("source_file"), F.asc("parser_name")])

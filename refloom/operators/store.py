@@ -159,9 +159,19 @@ def merge_rows(table: DataFrame, updates: DataFrame, keys: list[str]) -> DataFra
     return joined.select(*(pick(c) for c in table.columns))
 
 
+def present(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the table has."""
+    return rows.join(table.select(*keys), keys, "left_semi")
+
+
+def absent(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the table lacks; a key with a null is in no table."""
+    return rows.join(table.select(*keys), keys, "left_anti")
+
+
 def insert_absent(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """table and those rows whose key it lacks."""
-    return table.unionByName(rows.dropDuplicates(keys).join(table, keys, "left_anti"), allowMissingColumns=True)
+    return table.unionByName(absent(rows.dropDuplicates(keys), table, keys), allowMissingColumns=True)
 
 
 def drop_rule_journal(parsers: DataFrame, parser: str, journal: str) -> DataFrame:

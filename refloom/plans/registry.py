@@ -278,12 +278,12 @@ def greedy_compare(spark, d):
 
 @register("SELECT c_custkey AS bibcode FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def source_exists(spark, d):
-    return _source(spark, d).select("bibcode").join(_read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("bibcode")), "bibcode", "left_semi")
+    return store.present(_source(spark, d).select("bibcode"), _read(spark, d, "orders").where("o_orderstatus = 'F'").withColumnRenamed("o_custkey", "bibcode"), ["bibcode"])
 
 
 @register("SELECT c_custkey AS bibcode FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def source_missing(spark, d):
-    return _source(spark, d).select("bibcode").join(_read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("bibcode")), "bibcode", "left_anti")
+    return store.absent(_source(spark, d).select("bibcode"), _read(spark, d, "orders").where("o_orderstatus = 'F'").withColumnRenamed("o_custkey", "bibcode"), ["bibcode"])
 
 
 RULES = [("BrandA", ".x", "/xml", "Brand#11", True, None, None), ("BrandB", ".y", "/text", "Brand#12", False, 1, 25), ("BrandC", ".y", "/text", "Brand#12", False, 26, 40), ("BrandD", ".y", "/text", "Brand#13", False, 1, 10), ("BrandE", ".z", "/xml", "Brand#21", False, 5, 9)]
@@ -310,7 +310,8 @@ def unique_extension_parsers(spark, d):
 
 @register("SELECT n_nationkey, n_name FROM nation WHERE regexp_matches('from NATION_1 to NATION_21 by way of NATION_3', n_name)")
 def reversed_regex_filter(spark, d):
-    return _read(spark, d, "nation").where(F.rlike(F.lit("from NATION_1 to NATION_21 by way of NATION_3"), F.col("n_name"))).select("n_nationkey", "n_name")
+    runs = _read(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("bibcode"))
+    return compare.runs_named(runs, bibcode="from NATION_1 to NATION_21 by way of NATION_3").withColumnRenamed("bibcode", "n_name")
 
 
 # Telemetry -----------------------------------------------------------------
@@ -510,5 +511,5 @@ def row_numbers(spark, d):
 
 @register("SELECT p_brand, count(*) AS n FROM (SELECT p_brand FROM part UNION SELECT 'Brand#' || (s_suppkey % 60) FROM supplier) GROUP BY ALL")
 def bibcode_union(spark, d):
-    both = _read(spark, d, "part").select("p_brand").union(_read(spark, d, "supplier").select(F.expr("'Brand#' || (s_suppkey % 60)")))
-    return both.distinct().groupBy("p_brand").agg(F.count("*").alias("n"))
+    both = history.all_bibcodes(_read(spark, d, "part").select(F.col("p_brand").alias("bibcode")), _read(spark, d, "supplier").select(F.expr("'Brand#' || (s_suppkey % 60)").alias("bibcode")))
+    return both.groupBy(F.col("bibcode").alias("p_brand")).agg(F.count("*").alias("n"))
