@@ -14,9 +14,11 @@ from collections.abc import Iterator
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.expressions import nonempty, staged_id
 from ..schemas import QUEUED_BIBCODE, QUEUED_SCORE, TABLES
+from ..session import shared_path
 
 
 class Store:
@@ -89,10 +91,9 @@ class Store:
         Runs are ranked within ranges of their order and the ranges' sizes added up, so no task numbers all of them.
         """
         top = self.read("processed_history").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        numbered = number_rows(runs, order).withColumn("id", F.col("row_no") + F.lit(top)).drop("row_no")
-        kept = self.written(numbered, "runs")
-        self.append("processed_history", kept)
-        return kept
+        numbered = number_rows(runs, order, path=f"{self.root}/staging/runs-{uuid.uuid4().hex}").withColumn("id", F.col("row_no") + F.lit(top)).drop("row_no")
+        self.append("processed_history", numbered)
+        return numbered
 
     def merge(self, table: str, updates: DataFrame, keys: list[str]) -> None:
         """Rows of the table with their values from updates where the key is the same; keys that are not there are not added."""
@@ -134,12 +135,18 @@ class Store:
         }
 
 
-def number_rows(df: DataFrame, order: list[str], name: str = "row_no") -> DataFrame:
-    """df with 1, 2, ... in the given order, by range partitions: only their sizes are added up in one task."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+def number_rows(df: DataFrame, order: list[str], name: str = "row_no", path: str | None = None) -> DataFrame:
+    """df with 1, 2, ... in the given order, by range partitions: only their sizes are added up in one task.
+
+    The bounds of ranges come from a sample and may be others each time that a plan runs, so rows are written once (to path,
+    else to the shared folder) with their range and their place in it, and numbered from there.
+    """
+    path = path or shared_path(df.sparkSession, "ranges")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    parts = df.sparkSession.read.schema(StructType([*df.schema.fields, StructField("_at", LongType())])).parquet(path).withColumn("_part", F.shiftright("_at", 33))
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_skip", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_skip")
-    ranked = parts.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy("_at")))
-    return ranked.join(sizes, "_part").withColumn(name, F.col("_row") + F.col("_skip")).drop("_part", "_at", "_row", "_skip")
+    row = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return parts.join(F.broadcast(sizes), "_part").withColumn(name, row + F.col("_skip")).drop("_part", "_at", "_skip")
 
 
 def stage(keyed: DataFrame, keep_numbers: bool = True) -> DataFrame:

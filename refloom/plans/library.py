@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators import resolve, routing, store, telemetry, timing
 from ..schemas import EVENT, RULE
+from ..session import shared_path
 from ..sources import files as S
 from .registry import CITED_SQL, EVENTS_SQL, NAME_CASE, _cited, _events, _read, _rounded, _stats_sql, register
 
 
-def _folder(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that driver and executors share; one of our own where all is one process and none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{shared or 'file://' + tempfile.mkdtemp(prefix='refloom-')}/{what}-{uuid.uuid4().hex}"
-
-
 # Scalars -------------------------------------------------------------------
 
 
@@ -191,7 +180,7 @@ FROM refs JOIN runs USING (o_orderkey) LEFT JOIN part ON refstr = 'part' || p_pa
 @register(LIFECYCLE_SQL)
 def store_lifecycle(spark, d):
     """Sources, runs and items of all orders, loaded in one transaction, resolved and read back."""
-    st = store.Store(spark, _folder(spark, "store"))
+    st = store.Store(spark, shared_path(spark, "store"))
     lines = _read(spark, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", F.expr("'part' || (l_partkey % 200)").alias("refstr")).alias("s"))
     refs = F.transform(F.array_sort(F.collect_list("s")), lambda x: F.struct(F.lit(None).cast("int").alias("item_num"), x["refstr"].alias("refstr"), x["refstr"].alias("refraw")))
     blocks = lines.groupBy("l_orderkey").agg(refs.alias("references"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -30,3 +31,11 @@ def ship_package(spark: SparkSession) -> None:
             out.write(path, f"{top.name}/{path.relative_to(top)}")
     spark.sparkContext.addPyFile(str(archive))
     _shipped.add(app)
+
+
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A new path in the folder that driver and executors share; one of our own where all is one process and none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{shared or 'file://' + tempfile.mkdtemp(prefix='refloom-')}/{what}-{uuid.uuid4().hex}"

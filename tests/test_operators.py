@@ -155,6 +155,15 @@ def test_store_lifecycle(spark, tmp_path):
     assert st.read("resolved_reference").count() == 4 and set(st.orphans().values()) == {0}
 
 
+def test_rows_of_large_tables_are_numbered_once(spark):
+    """So many rows that the bounds of ranges come from a sample, which differs from run to run."""
+    rows = spark.range(200_000).select(F.xxhash64("id").cast("string").alias("k"), "id")
+    got = store.number_rows(rows, ["k"])
+    first = got.collect()
+    assert [r.row_no for r in sorted(first, key=lambda r: r.k)] == list(range(1, 200_001))
+    assert sorted(got.select("k", "row_no").collect()) == sorted((r.k, r.row_no) for r in first)
+
+
 def test_a_failed_load_leaves_nothing(spark, tmp_path, monkeypatch):
     st = store.Store(spark, f"file://{tmp_path}/store")
     when = dt.datetime(2024, 1, 1)
