@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +13,9 @@ from ..schemas import PARSED_REFERENCE, REFERENCE_FIELDS
 from .registry import parser_for
 
 SCHEMA = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PARSED_REFERENCE) + ", error string"
-COLUMNS = [f.name for f in PARSED_REFERENCE] + ["error"]
+ARROW = pa.schema([(f.name, pa.int32() if f.name in ("pos", "item_num") else pa.string()) for f in PARSED_REFERENCE] + [("error", pa.string())])
+#: What goes out in one batch; a batch for each file would cost many times what parsing it does.
+ROWS, BYTES = 1000, 4 << 20
 
 
 def _rows(path: str, bibcode: str, raws: list[str], name: str, numbers: list[int] | None = None) -> Iterator[tuple]:
@@ -28,6 +30,25 @@ def _rows(path: str, bibcode: str, raws: list[str], name: str, numbers: list[int
             yield (path, bibcode, k, number, raw, *(found.get(f) for f in REFERENCE_FIELDS), None)
 
 
+def _batched(files: Iterator[tuple[list[tuple], int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows of files (rows, size of the file) in batches of at most ROWS rows, which hold several files up to BYTES."""
+    held: list[tuple] = []
+    size = 0
+
+    def made() -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(held), ROWS):
+            columns = zip(*held[at : at + ROWS])
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    for rows, n in files:
+        held += rows
+        size += n
+        if len(held) >= ROWS or size >= BYTES:
+            yield from made()
+            held, size = [], 0
+    yield from made()
+
+
 def parse_files(files: DataFrame, lookup: dict[str, str] | None = None) -> DataFrame:
     """References of files (path, content binary, parser_name), with the time that the whole file took; lookup gives the bibcode of a DOI or file code.
 
@@ -36,9 +57,9 @@ def parse_files(files: DataFrame, lookup: dict[str, str] | None = None) -> DataF
     """
     known = lookup or {}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content, name in pdf[["path", "content", "parser_name"]].itertuples(index=False, name=None):
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], int]]:
+        for batch in batches:
+            for path, content, name in zip(*(batch.column(c).to_pylist() for c in ("path", "content", "parser_name"))):
                 began, parser, out = time.perf_counter(), parser_for(name or ""), []
                 reason = None if parser else f"no parser {name}"
                 if parser:
@@ -51,23 +72,24 @@ def parse_files(files: DataFrame, lookup: dict[str, str] | None = None) -> DataF
                         reason = f"{type(error).__name__}: {error}"
                 if reason:
                     out.append((path, None, None, None, None, *[None] * len(REFERENCE_FIELDS), reason))
-                yield pd.DataFrame(out, columns=COLUMNS).astype(object).assign(parse_ms=(time.perf_counter() - began) * 1000)
+                ms = (time.perf_counter() - began) * 1000
+                yield [(*row, ms) for row in out], len(content or b"")
 
-    return files.select("path", "content", "parser_name").mapInPandas(run, SCHEMA + ", parse_ms double")
+    schema = ARROW.append(pa.field("parse_ms", pa.float64()))
+    return files.select("path", "content", "parser_name").mapInArrow(lambda batches: _batched(parsed(batches), schema), SCHEMA + ", parse_ms double")
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:
     """References of buffered blocks (source_filename, parser_name, block_references), as reprocessing makes them: the raw text, else the text, is parsed again."""
     flat = blocks.select("source_filename", "parser_name", F.explode("block_references").alias("b")).select("source_filename", "parser_name", F.col("b.source_bibcode").alias("bib"), F.transform("b.references", lambda r: F.struct(r["item_num"].cast("int").alias("n"), F.coalesce(r["refraw"], r["refstr"]).alias("t"))).alias("refs"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, name, bib, refs in pdf[["source_filename", "parser_name", "bib", "refs"]].itertuples(index=False, name=None):
-                get = lambda r, k: r[k] if isinstance(r, dict) else getattr(r, k)
-                out = list(_rows(path, bib, [get(r, "t") or "" for r in refs], name, [get(r, "n") for r in refs])) if parser_for(name or "") else [(path, bib, None, None, None, *[None] * len(REFERENCE_FIELDS), f"no parser {name}")]
-                yield pd.DataFrame(out, columns=COLUMNS).astype(object)
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], int]]:
+        for batch in batches:
+            for path, name, bib, refs in zip(*(batch.column(c).to_pylist() for c in ("source_filename", "parser_name", "bib", "refs"))):
+                raws = [r["t"] or "" for r in refs or []]
+                yield list(_rows(path, bib, raws, name, [r["n"] for r in refs or []])) if parser_for(name or "") else [(path, bib, None, None, None, *[None] * len(REFERENCE_FIELDS), f"no parser {name}")], sum(map(len, raws))
 
-    return flat.mapInPandas(run, SCHEMA)
+    return flat.mapInArrow(lambda batches: _batched(parsed(batches), ARROW), SCHEMA)
 
 
 def as_loaded(parsed: DataFrame, parser_name: str | None = None) -> DataFrame:

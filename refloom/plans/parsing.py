@@ -60,10 +60,16 @@ def _filled(template: str) -> Column:
     return out
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """rows in as many tasks as there are cores, or more: parsing takes far longer than reading them, and a number asked for is not coalesced."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _files(suppliers: DataFrame, templates: dict[str, str], header: str = "") -> DataFrame:
-    """A file for each supplier and parser."""
+    """A file for each supplier and parser; suppliers, of which one small file has many, go to all cores first."""
     made = F.array(*(F.struct(F.lit(n).alias("parser_name"), _filled(header + t).alias("text")) for n, t in templates.items()))
-    flat = suppliers.select("s_suppkey", F.expr(FIELDS["b"]).alias("b"), F.explode(made).alias("f"))
+    flat = _spread(suppliers.select("s_suppkey")).select("s_suppkey", F.expr(FIELDS["b"]).alias("b"), F.explode(made).alias("f"))
     path = F.concat(F.lit("/sources/J/"), F.col("s_suppkey"), F.lit("/"), F.col("b"), F.lit(".ref.txt"))
     return flat.select("s_suppkey", path.alias("path"), F.col("f.parser_name").alias("parser_name"), F.col("f.text").cast("binary").alias("content"))
 

@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from refloom.parse import base as B
 from refloom.parse import parse_blocks, parse_files
 from refloom.parse.dialects import DIALECTS, parse_reference
@@ -146,3 +148,21 @@ def test_buffers(spark):
     got = parse_blocks(spark.createDataFrame(rows, f"source_filename string, parser_name string, block_references {ref}")).collect()
     assert sorted((r.source_filename, r.item_num, r.refstr or r.refplaintext, r.error is None) for r in got if r.error is None) == [("f.raw", 4, "Smith 1990", True), ("f.raw", 9, "Doe 1991", True), ("f.xml", 1, "Roe 1992, ApJ", True)]
     assert [r.item_num for r in got if r.error] == [2]
+
+
+def test_rows_of_small_files_share_batches():
+    from refloom.parse import frames
+
+    row = ("p", None, None, None, "raw", *[None] * (len(frames.ARROW) - 6), "none")
+    made = [b.num_rows for b in frames._batched(iter([([row] * n, 9) for n in [1] * 1500 + [0, 2500]]), frames.ARROW)]
+    assert sum(made) == 4000 and max(made) <= frames.ROWS and len(made) <= 5
+    assert len(list(frames._batched(iter([([row], frames.BYTES)] * 3), frames.ARROW))) == 3
+    assert not list(frames._batched(iter([]), frames.ARROW))
+
+
+def test_files_of_one_small_table_are_parsed_by_all_cores(spark):
+    from refloom.plans import parsing
+
+    one = spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1)
+    tasks = parsing._files(one, {"arXiv": "{t}"}).select(F.spark_partition_id().alias("t"), "path").collect()
+    assert len({r.t for r in tasks}) >= min(4, spark.sparkContext.defaultParallelism) and len({r.path for r in tasks}) == 40
