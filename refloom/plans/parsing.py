@@ -86,7 +86,7 @@ _values = lambda names: ", ".join(f"('{n}')" for n in names)
 @register(f"SELECT name AS parser_name, s_suppkey, {SQL_FIELDS['a']} || ', ' || {SQL_FIELDS['y']} || '. ' || {SQL_FIELDS['j']} || ', ' || {SQL_FIELDS['v']} || ', ' || {SQL_FIELDS['p']} || '.' AS refstr FROM supplier, (VALUES {_values(TEMPLATES)}) t(name)")
 def xml_dialects(spark, d):
     rows = _named(spark, _files(_read(spark, d, "supplier"), {n: "<ADSBIBCODE>{b}</ADSBIBCODE>" + t for n, t in TEMPLATES.items() if n != "LivingReviews"}))
-    living = _read(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("/sources/J/"), F.col("s_suppkey"), F.lit("/code.living.xml")).alias("path"), F.lit("LivingReviews").alias("parser_name"), _filled(TEMPLATES["LivingReviews"]).cast("binary").alias("content"))
+    living = _spread(_read(spark, d, "supplier").select("s_suppkey")).select("s_suppkey", F.concat(F.lit("/sources/J/"), F.col("s_suppkey"), F.lit("/code.living.xml")).alias("path"), F.lit("LivingReviews").alias("parser_name"), _filled(TEMPLATES["LivingReviews"]).cast("binary").alias("content"))
     named = parse_files(living, {"code": "1998LRR.....1....3R"}).select(F.lit("LivingReviews").alias("parser_name"), F.split_part("source_filename", F.lit("/"), F.lit(4)).cast("long").alias("s_suppkey"), F.coalesce("refstr", "refplaintext").alias("refstr"), "error")
     return rows.unionByName(named).where("error is null").drop("error")
 

@@ -1,5 +1,4 @@
 import pytest
-
 from pyspark.sql import functions as F
 
 from refloom.parse import base as B
@@ -166,3 +165,11 @@ def test_files_of_one_small_table_are_parsed_by_all_cores(spark):
     one = spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1)
     tasks = parsing._files(one, {"arXiv": "{t}"}).select(F.spark_partition_id().alias("t"), "path").collect()
     assert len({r.t for r in tasks}) >= min(4, spark.sparkContext.defaultParallelism) and len({r.path for r in tasks}) == 40
+
+
+def test_living_reviews_are_parsed_by_all_cores(spark, tmp_path):
+    from refloom.plans import registry
+
+    spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    got = registry.queries()["xml_dialects"](spark, str(tmp_path)).select("parser_name", "s_suppkey", F.spark_partition_id().alias("t")).where("parser_name = 'LivingReviews'").collect()
+    assert len({r.s_suppkey for r in got}) == len(got) == 40 and len({r.t for r in got}) >= min(4, spark.sparkContext.defaultParallelism)
