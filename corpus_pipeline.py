@@ -24,7 +24,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, a similarity of 0.8), that with the smallest doc_id."""
+    """One document of each group of near copies (five-word shingles, a similarity of 0.8), that with the smallest doc_id.
+
+    SimHash fingerprints meet by anchor-point covering, as in op2_simhash, and shingles judge; links beyond its bits are found by prefixes.
+    """
     ship_package(spark)
     return jaccard.keep_first_similar(docs.select(*COLUMNS))
 

@@ -96,3 +96,39 @@ def test_heavy_places_are_dealt_out_exactly(spark):
     sizes = [len(x) for x in sets_of(rows)]
     assert found(spark, rows, heavy=8 * max(sizes)) == exact(rows)
     assert found(spark, rows[:40], heavy=max(sizes) - 1) == exact(rows[:40])
+
+
+def one_word_edits(n=40, seed=4):
+    r = random.Random(seed)
+    rows = []
+    for k in range(n):
+        base = [f"w{r.randrange(9000)}" for _ in range(900)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base[:-1], "edit"]))]
+    return rows
+
+
+def test_fingerprints_meet_by_anchor_point_covering(spark, monkeypatch):
+    """Texts whose SimHash differs in at most two bits are brought together and judged without any prefix."""
+    rows = one_word_edits()
+    w0 = [int(J._sums(J.shingles(t)).view(np.int64)[0]) for _, t in rows]
+    bits = np.array([[((x ^ y) & (1 << 64) - 1).bit_count() for y in w0] for x in w0])
+    a, b = np.nonzero(np.triu(bits <= 2, 1))
+    root = local_roots(len(rows), b, a)
+    want = [(i, int(r)) for (i, _), r in zip(rows, root)]
+    assert len(a) > 20
+    nodes = spark.createDataFrame([(i, 9, w) for (i, _), w in zip(rows, w0)], "node long, n long, w0 long")
+    groups = {}
+    for r in J.fingerprint_places(nodes).collect():
+        groups.setdefault(r.place, []).append(r.node)
+    assert sorted(sorted(g) for g in groups.values()) == sorted(sorted(i for i, r in want if r == k) for k in {r for i, r in want if r != i})
+    monkeypatch.setattr(J, "_places", lambda nodes: nodes.select(nodes.node.alias("place"), "node", "n").limit(0))
+    assert sorted(found(spark, rows)) == want
+
+
+def test_what_fingerprints_bring_together_is_judged(spark, monkeypatch):
+    """All texts at one fingerprint: only similar ones are linked."""
+    monkeypatch.setattr(J, "fingerprint_places", lambda nodes: nodes.select(nodes.node * 0, "node", "n").toDF("place", "node", "n"))
+    rows = one_word_edits(10) + block_edits()[:30]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert found(spark, rows) == exact(rows)
+    assert found(spark, rows, most=8) == exact(rows)
