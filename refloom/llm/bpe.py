@@ -21,13 +21,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frugal, read_table, tokenizer_path
+from .common import REMEMBERED, frugal, read_table, tokenizer_path
 from .simhash import _arrow_type
 
 #: Fixed value: how the vocabularies of this family cut texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 6 << 20  # characters that are encoded at a time
 WORDS = 600_000  # different words that a worker remembers
+AT_ONCE = 1 << 18  # pairs that are looked up at a time
 
 
 def byte_letters() -> list[str]:
@@ -65,7 +66,7 @@ class Vocabulary:
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 if it does not merge."""
-        want = a * self.size + b
+        want = a.astype(np.int64) * self.size + b
         at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
         return np.where((a >= 0) & (b >= 0) & (self.keys[at] == want), self.order[at], -1)
 
@@ -73,12 +74,12 @@ class Vocabulary:
         """The ids of all words one after another, and the number of each word's."""
         lengths = np.array([len(w) for w in words], np.int64)
         n = int(lengths.sum()) + len(words)
-        sym = np.full(n + 1, -1, np.int64)  # each word ends with -1
+        sym = np.full(n + 1, -1, np.int32)  # each word ends with -1
         starts = np.cumsum(lengths + 1) - lengths - 1
         inside = np.ones(n, bool)
         inside[starts + lengths] = False
         sym[:n][inside] = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         before[0] = after[n] = n
         lists: dict[int, list[np.ndarray]] = {}
         heap: list[int] = []
@@ -99,7 +100,8 @@ class Vocabulary:
                     lists[r] = [part]
                     heapq.heappush(heap, r)
 
-        add(np.arange(n - 1))
+        for at in range(0, n - 1, AT_ONCE):
+            add(np.arange(at, min(at + AT_ONCE, n - 1), dtype=np.int32))
         while heap:
             r = heapq.heappop(heap)
             parts = lists.pop(r)
@@ -113,7 +115,7 @@ class Vocabulary:
                     if p != last:
                         taken.append(p)
                         last = q
-                at = np.array(taken, np.int64)
+                at = np.array(taken, np.int32)
             if not len(at):
                 continue
             gone = after[at]
@@ -237,10 +239,10 @@ class WordIndex:
     def add(self, low: np.ndarray, high: np.ndarray, numbers: np.ndarray) -> None:
         """New different words."""
         self.used += len(low)
-        if self.used * 3 > len(self.low):
+        if self.used * 2 > len(self.low):
             old = self.high != 0
             low, high, numbers = np.r_[self.low[old], low], np.r_[self.high[old], high], np.r_[self.numbers[old], numbers]
-            self._clear(1 << int(self.used * 4).bit_length())
+            self._clear(1 << int(self.used * 2).bit_length())
         slot = self._slots(low, high)
         while len(low):
             free = np.flatnonzero(self.high[slot] == 0)
@@ -377,6 +379,9 @@ def pair_index_encoder(path: str) -> WordEncoder:
     return WordEncoder(vocab.special, vocab.encode_words)
 
 
+REMEMBERED.append(pair_index_encoder.cache_clear)
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(id_col, ids array<int>): each whole text as the tokenizers library encodes it without special tokens added; null and empty texts have no ids."""
     path = path or tokenizer_path()
@@ -390,7 +395,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(ids, schema.field(0).type), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))], schema=schema)
 
-    return rows.mapInArrow(frugal(run), f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run, remembers=True), f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", out_col: str = "text", path: str | None = None) -> DataFrame:
@@ -434,7 +439,7 @@ def round_trip_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 schema=schema,
             )
 
-    return rows.mapInArrow(frugal(run), f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(frugal(run, remembers=True), f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,10 +50,21 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def frugal(run: Callable) -> Callable:
-    """For mapInArrow: run, and its memory given back when a task ends."""
+#: How to forget what a worker remembers from task to task.
+REMEMBERED: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    for drop in REMEMBERED:
+        drop()
+
+
+def frugal(run: Callable, remembers: bool = False) -> Callable:
+    """For mapInArrow: run, and its memory given back when a task ends; what other operators remember goes first, unless run is to find it."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not remembers:
+            forget()
         try:
             yield from run(batches)
         finally:

@@ -160,3 +160,27 @@ def test_escapes_reverse():
         assert C.unescape(C.escape(text)) == text == C.unescape(C.escape(text, C.ROLE_MARKED))
         units = C.re.findall(r"\\(?:\\|###|</turn>)|###|</turn>|.", C.escape(text))
         assert "###" not in units and "</turn>" not in units
+
+
+def test_encoding_new_words_takes_bounded_memory():
+    """Symbols and links are 32-bit, and pairs are looked up some at a time."""
+    import tracemalloc
+
+    vocab, r = B.vocabulary(B.tokenizer_path()), random.Random(2)
+    words = list({"".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=9)).encode() for _ in range(120_000)})
+    tracemalloc.start()
+    vocab.encode_words(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(len(w) + 1 for w in words)
+
+
+def test_words_are_remembered_by_encoders_only():
+    from refloom.llm.common import frugal
+
+    path = B.tokenizer_path()
+    kept = B.pair_index_encoder(path)
+    list(frugal(iter, remembers=True)([]))
+    assert B.pair_index_encoder(path) is kept
+    list(frugal(iter)([]))
+    assert B.pair_index_encoder(path) is not kept
