@@ -173,3 +173,9 @@ def test_living_reviews_are_parsed_by_all_cores(spark, tmp_path):
     spark.range(40).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
     got = registry.queries()["xml_dialects"](spark, str(tmp_path)).select("parser_name", "s_suppkey", F.spark_partition_id().alias("t")).where("parser_name = 'LivingReviews'").collect()
     assert len({r.s_suppkey for r in got}) == len(got) == 40 and len({r.t for r in got}) >= min(4, spark.sparkContext.defaultParallelism)
+
+
+def test_pages_of_five_digits_keep_their_references(spark):
+    page = '<p class="author">by <strong>A Zed</strong> Issue 1, Volume 7:%d-999, 1980<p class="reference">Doe, X. 1980, Icarus, 1, 2</p>'
+    files = spark.createDataFrame([(f"f{k}", "AEdRvHTML", bytearray((page % k).encode())) for k in (9999, 10000)], "path string, parser_name string, content binary")
+    assert sorted((r.source_bibcode, r.error) for r in parse_files(files).collect()) == [("1980AEdRv...710000Z", None), ("1980AEdRv...7a9999Z", None)]
